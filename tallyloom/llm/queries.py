@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bit_packing import pack_documents
 from .common import UPPER, table
 from .exact_dedup import exact_dedup
+from .language_id import identify
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,9 +20,14 @@ def op3_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_bit_packing": op3_bit_packing,
+    "op8_language_id": op8_language_id,
 }
 
 ORACLES: dict[str, str] = {
