@@ -10,6 +10,7 @@ from .bit_packing import pack_documents
 from .common import UPPER, table
 from .exact_dedup import exact_dedup
 from .language_id import identify
+from .secret_scan import scan_secrets
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,10 @@ def op3_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -27,6 +32,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_bit_packing": op3_bit_packing,
+    "op7_secret_scan": op7_secret_scan,
     "op8_language_id": op8_language_id,
 }
 
