@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bit_packing import pack_documents
+from .chat_format import format_chats
 from .common import UPPER, table
 from .exact_dedup import exact_dedup
 from .language_id import identify
@@ -29,11 +30,16 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_bit_packing": op3_bit_packing,
     "op7_secret_scan": op7_secret_scan,
     "op8_language_id": op8_language_id,
+    "op10_chat_format": op10_chat_format,
 }
 
 ORACLES: dict[str, str] = {
@@ -43,4 +49,14 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
         FROM t WINDOW w AS (PARTITION BY norm)
     """,
+    "op10_chat_format": r"""
+        WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+        s AS (SELECT *, row_number() OVER w AS pos, count(*) OVER (PARTITION BY conv_id) AS n_turns,
+                     list({'role': role, 'text': text}) OVER (w ROWS UNBOUNDED PRECEDING) AS said FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+        whole AS (SELECT said, min(conv_id) AS conv_id, count(*) AS n_copies, any_value(n_turns) AS n_turns FROM s WHERE pos = n_turns GROUP BY said),
+        stay AS (SELECT * FROM whole WHERE said NOT IN (SELECT said FROM s WHERE pos < n_turns))
+        SELECT k.conv_id, 0::BIGINT AS part, 0::BIGINT AS turn_from, k.n_turns, k.n_copies,
+               string_agg('<|' || replace(role, '<|', '< |') || '|>' || chr(10) || replace(text, '<|', '< |') || '<|end|>' || chr(10), '' ORDER BY pos) AS rendered
+        FROM stay k JOIN s ON s.conv_id = k.conv_id GROUP BY k.conv_id, k.n_turns, k.n_copies
+    """,
 }
