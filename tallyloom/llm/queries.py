@@ -11,6 +11,7 @@ from .chat_format import format_chats
 from .common import UPPER, table
 from .exact_dedup import exact_dedup
 from .language_id import identify
+from .ngram_join import ngram_join
 from .secret_scan import scan_secrets
 
 
@@ -30,6 +31,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(table(spark, sf_dir, "conversations"))
 
@@ -39,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bit_packing": op3_bit_packing,
     "op7_secret_scan": op7_secret_scan,
     "op8_language_id": op8_language_id,
+    "op9_ngram_join": op9_ngram_join,
     "op10_chat_format": op10_chat_format,
 }
 
