@@ -12,6 +12,7 @@ from .common import UPPER, table
 from .exact_dedup import exact_dedup
 from .language_id import identify
 from .ngram_join import ngram_join
+from .pii import find_pii
 from .secret_scan import scan_secrets
 
 
@@ -19,6 +20,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 def op3_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -41,6 +46,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_pii": op2_pii,
     "op3_bit_packing": op3_bit_packing,
     "op7_secret_scan": op7_secret_scan,
     "op8_language_id": op8_language_id,
