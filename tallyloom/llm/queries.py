@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bit_packing import pack_documents
 from .chat_format import format_chats
 from .common import UPPER, table
+from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
 from .language_id import identify
 from .ngram_join import ngram_join
@@ -28,6 +29,10 @@ def op3_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_pii": op2_pii,
     "op3_bit_packing": op3_bit_packing,
+    "op5_decontaminate": op5_decontaminate,
     "op7_secret_scan": op7_secret_scan,
     "op8_language_id": op8_language_id,
     "op9_ngram_join": op9_ngram_join,
