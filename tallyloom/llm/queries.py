@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bit_packing import pack_documents
 from .chat_format import format_chats
+from .co_training import score_quality
 from .common import UPPER, table
 from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
 from .language_id import identify
 from .ngram_join import ngram_join
+from .packing import pack
 from .pii import find_pii
 from .secret_scan import scan_secrets
 
@@ -29,10 +31,18 @@ def op3_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -53,7 +63,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_pii": op2_pii,
     "op3_bit_packing": op3_bit_packing,
+    "op4_co_training": op4_co_training,
     "op5_decontaminate": op5_decontaminate,
+    "op6_packing": op6_packing,
     "op7_secret_scan": op7_secret_scan,
     "op8_language_id": op8_language_id,
     "op9_ngram_join": op9_ngram_join,
