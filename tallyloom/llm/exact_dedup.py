@@ -178,7 +178,10 @@ def exact_dedup(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> D
 
 
 def drop_duplicates(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs whose text no row with a larger id repeats, all columns kept; of rows that repeat an id and a text, one stays."""
+    """The rows of docs whose text no row with a larger id repeats, all columns kept; of rows that repeat an id and a text, one stays.
+
+    A row without an id can't be told from its copies and goes.
+    """
     kept = text_classes(docs, ident, text).filter(F.col("keep_id").isNotNull())
     kept = kept.select(F.col("keep_id").cast(docs.schema[ident].dataType).alias(ident))
     return docs.join(kept, ident, "left_semi").dropDuplicates([ident]).select(docs.columns)

@@ -442,7 +442,10 @@ def ngram_join(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> Da
 
 
 def one_of_each(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs whose doc_id is its component's smallest, all columns kept; rows that repeat a doc_id are one."""
+    """The rows of docs whose doc_id is its component's smallest, all columns kept; rows that repeat a doc_id are one.
+
+    A row without an id can't stand for its component and goes.
+    """
     joined = ngram_join(docs, ident, text)
     kept = joined.filter("doc_id = component_id").select(F.col("doc_id").cast(docs.schema[ident].dataType).alias(ident))
     return docs.join(kept, ident, "left_semi").dropDuplicates([ident]).select(docs.columns)
