@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import EngineConfig
 from ..functions.scalars import UNKNOWN, clip, fallback_reason, rule_reason
+from ..sources.files import stage
 
 FALLBACK = "fallback"
 
@@ -122,10 +123,14 @@ def top_k(recs: DataFrame, k: int, score: str = "score") -> DataFrame:
     return recs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def with_fallback(assoc: DataFrame, basket: DataFrame, clusters: DataFrame, config: EngineConfig) -> DataFrame:
+    """assoc filled up to top_k and ranked. assoc is read three times: write it first where it is dear."""
+    return top_k(assoc.unionByName(fallback_recommendations(basket, clusters, assoc, config)), config.top_k)
+
+
 def rank_recommendations(basket: DataFrame, clusters: DataFrame, rules: DataFrame, config: EngineConfig) -> DataFrame:
     scored = scored_candidates(rule_candidates(basket, clusters, rules, config), basket, config)
-    assoc = association_recommendations(scored, basket)
-    return top_k(assoc.unionByName(fallback_recommendations(basket, clusters, assoc, config)), config.top_k)
+    return with_fallback(stage(association_recommendations(scored, basket), "assoc"), basket, clusters, config)
 
 
 def summary(recs: DataFrame) -> DataFrame:

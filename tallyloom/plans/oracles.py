@@ -141,7 +141,7 @@ FINAL = {
     "basket_recency": "SELECT customer_id, product_id, purchase_frequency, recency_days FROM slim",
     "unmatched_audit": """SELECT count(*) AS n_rows, count(*) FILTER (p.product_id IS NULL) AS no_product, count(*) FILTER (c.customer_id IS NULL) AS no_customer
         FROM scoped s LEFT JOIN products p USING (product_id) LEFT JOIN customers c ON c.customer_id = s.customer_id""",
-    "min_order_filter": "SELECT customer_id, count(*) AS n_rows, count(DISTINCT invoice_date) AS n_dates FROM lines GROUP BY 1 HAVING n_dates >= 12",
+    "min_order_filter": "SELECT customer_id, count(*) AS n_rows, count(DISTINCT invoice_date) AS n_dates FROM lines GROUP BY 1 HAVING n_dates >= 10",
     "basket_summary": "SELECT count(*) AS n_rows, count(DISTINCT customer_id) AS n_customers, count(DISTINCT product_id) AS n_products, count(DISTINCT segment) AS n_segments, min(recency_days) AS min_recency, max(recency_days) AS max_recency FROM slim",
     "rfm": "SELECT customer_id, rfm_recency, rfm_frequency, round(rfm_monetary, 6) AS rfm_monetary FROM rfm",
     "rfm_scores": "SELECT customer_id, rfm_recency, rfm_frequency, round(rfm_monetary, 6) AS rfm_monetary, round(rfm_recency_score, 6) AS rfm_recency_score, round(rfm_frequency_score, 6) AS rfm_frequency_score, round(rfm_monetary_score, 6) AS rfm_monetary_score FROM scores",

@@ -17,22 +17,24 @@ from ..operators import rules as R
 from ..operators import serve as V
 from ..operators import sessions as S
 from ..operators import validate as A
-from ..sources.star import Canonical, load, surrogate_clusters
+from ..sources.files import stage
+from ..sources.star import load, surrogate_clusters
 
 CONFIG = EngineConfig()
-MIN_ORDERS = EngineConfig(min_order_count=12)
+MIN_ORDERS = EngineConfig(min_order_count=10)
+STAGED = ("slim", "basket", "items", "rules", "assoc", "recs", "matrix")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Tables:
-    """What the queries build on, each made when first asked for; nothing runs before an action."""
+    """What the queries build on, made when first asked for; tables that several steps read are written once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.c, self._made = spark, load(spark, sf_dir), {}
 
     def _get(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._made:
-            self._made[name] = make()
+            self._made[name] = stage(make(), name) if name in STAGED else make()
         return self._made[name]
 
     canonical = property(lambda self: self.c)
@@ -47,7 +49,7 @@ class Tables:
     candidates = property(lambda self: self._get("candidates", lambda: K.rule_candidates(self.slim, self.clusters, self.rules, CONFIG)))
     scored = property(lambda self: self._get("scored", lambda: K.scored_candidates(self.candidates, self.slim, CONFIG)))
     assoc = property(lambda self: self._get("assoc", lambda: K.association_recommendations(self.scored, self.slim)))
-    recs = property(lambda self: self._get("recs", lambda: K.rank_recommendations(self.slim, self.clusters, self.rules, CONFIG)))
+    recs = property(lambda self: self._get("recs", lambda: K.with_fallback(self.assoc, self.slim, self.clusters, CONFIG)))
     weighted = property(lambda self: self._get("weighted", lambda: D.weighted(D.recent(self.c.feedback, CONFIG), CONFIG)))
     calibrated = property(lambda self: self._get("calibrated", lambda: D.calibrate(self.recs, self.c.feedback, CONFIG)))
     matrix = property(lambda self: self._get("matrix", lambda: X.feature_matrix(self.basket, CONFIG)))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -63,3 +66,19 @@ def publish(df: DataFrame, path: str, *order: str) -> int:
 def write_json(df: DataFrame, path: str) -> None:
     """One JSON document a row."""
     df.write.mode("overwrite").json(path)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, or a folder of our own where it is unset, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = "file://" + tempfile.mkdtemp(prefix="tallyloom-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read back: later steps start from it, whatever executors are lost."""
+    path = f"{shared_folder(df.sparkSession)}/tallyloom-stages/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
