@@ -25,7 +25,8 @@ def basket_window(invoices: DataFrame, config: EngineConfig) -> DataFrame:
         return invoices.sparkSession.range(1).select(F.lit(config.window_days).cast("long").alias("window_days"))
     medians = purchase_gaps(invoices, config.gap_grain).filter("gap_days IS NOT NULL").groupBy("customer_id").agg(F.median("gap_days").alias("m"))
     half_even = F.bround(F.median("m"), 0).cast("long")
-    return medians.agg(F.coalesce(F.greatest(F.lit(SHORTEST), F.least(F.lit(LONGEST), half_even)), F.lit(DEFAULT)).cast("long").alias("window_days"))
+    bounded = F.greatest(F.lit(SHORTEST), F.least(F.lit(LONGEST), F.col("w")))
+    return medians.agg(half_even.alias("w")).select(F.when(F.col("w").isNull(), DEFAULT).otherwise(bounded).cast("long").alias("window_days"))
 
 
 def sessionise(invoices: DataFrame, window: DataFrame) -> DataFrame:

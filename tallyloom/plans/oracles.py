@@ -43,7 +43,7 @@ STEPS = {
         FROM slim LEFT JOIN scores USING (customer_id) LEFT JOIN bands USING (customer_id, product_id, region, end_use)""",
     "gaps": "SELECT customer_id, invoice_date, invoice_date - lag(invoice_date) OVER (PARTITION BY customer_id ORDER BY invoice_date) AS gap_days FROM invoices",
     "medians": "SELECT customer_id, median(gap_days) AS m FROM gaps WHERE gap_days IS NOT NULL GROUP BY 1",
-    "win": "SELECT coalesce(greatest(7, least(90, round_even(median(m), 0)::BIGINT)), 30)::BIGINT AS window_days FROM medians",
+    "win": "SELECT CASE WHEN median(m) IS NULL THEN 30 ELSE greatest(7, least(90, round_even(median(m), 0)::BIGINT)) END::BIGINT AS window_days FROM medians",
     "flags": """SELECT i.*, CASE WHEN coalesce(invoice_date - lag(invoice_date) OVER w > window_days, true) THEN 1 ELSE 0 END AS fresh
         FROM invoices i, win WINDOW w AS (PARTITION BY customer_id ORDER BY invoice_date)""",
     "numbered": "SELECT *, sum(fresh) OVER (PARTITION BY customer_id ORDER BY invoice_date) AS session_no FROM flags",
