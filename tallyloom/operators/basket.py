@@ -90,10 +90,10 @@ def price_bands(lines: DataFrame) -> DataFrame:
     Edges are the linear thirds over the group's rows; bands are closed on the right; fewer than three distinct prices, or
     edges that coincide, make all of the group Mid.
     """
-    prices = lines.groupBy("customer_id", "product_id", "region", "end_use").agg(F.round(F.avg("price"), 6).alias("mean_price"))
+    prices = lines.groupBy("customer_id", "product_id", "region", "end_use").agg(F.round(F.avg("price"), 8).alias("mean_price"))
     thirds = F.percentile("mean_price", F.array(F.lit(1 / 3), F.lit(2 / 3)))
     edges = prices.groupBy("region", "end_use").agg(thirds.alias("q"), F.min("mean_price").alias("lo"), F.max("mean_price").alias("hi"), F.count_distinct("mean_price").alias("n"))
-    edges = edges.select("region", "end_use", F.round(F.get("q", F.lit(0)), 6).alias("q1"), F.round(F.get("q", F.lit(1)), 6).alias("q2"), "lo", "hi", "n")
+    edges = edges.select("region", "end_use", F.round(F.get("q", F.lit(0)), 8).alias("q1"), F.round(F.get("q", F.lit(1)), 8).alias("q2"), "lo", "hi", "n")
     p = F.col("mean_price")
     flat = (F.col("n") < 3) | (F.col("lo") == F.col("q1")) | (F.col("q1") == F.col("q2")) | (F.col("q2") == F.col("hi"))
     band = F.when(flat, "Mid").when(p <= F.col("q1"), "Low").when(p <= F.col("q2"), "Mid").otherwise("High")

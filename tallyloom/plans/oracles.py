@@ -34,8 +34,8 @@ STEPS = {
     "scores": """SELECT rfm.*, CASE WHEN r1 = r0 THEN 0.5 ELSE (r1 - rfm_recency)::DOUBLE / (r1 - r0) END AS rfm_recency_score,
         CASE WHEN f1 = f0 THEN 0.5 ELSE (rfm_frequency - f0)::DOUBLE / (f1 - f0) END AS rfm_frequency_score,
         CASE WHEN m1 = m0 THEN 0.5 ELSE (rfm_monetary - m0) / (m1 - m0) END AS rfm_monetary_score FROM rfm, bounds""",
-    "prices": "SELECT customer_id, product_id, region, end_use, round(avg(price), 6) AS mean_price FROM lines GROUP BY ALL",
-    "edges": """SELECT region, end_use, round(quantile_cont(mean_price, 1 / 3.0::DOUBLE), 6) AS q1, round(quantile_cont(mean_price, 2 / 3.0::DOUBLE), 6) AS q2,
+    "prices": "SELECT customer_id, product_id, region, end_use, round(avg(price), 8) AS mean_price FROM lines GROUP BY ALL",
+    "edges": """SELECT region, end_use, round(quantile_cont(mean_price, 1 / 3.0::DOUBLE), 8) AS q1, round(quantile_cont(mean_price, 2 / 3.0::DOUBLE), 8) AS q2,
         min(mean_price) AS lo, max(mean_price) AS hi, count(DISTINCT mean_price) AS n FROM prices GROUP BY ALL""",
     "bands": """SELECT customer_id, product_id, region, end_use, mean_price, CASE WHEN n < 3 OR lo = q1 OR q1 = q2 OR q2 = hi THEN 'Mid'
         WHEN mean_price <= q1 THEN 'Low' WHEN mean_price <= q2 THEN 'Mid' ELSE 'High' END AS price_band FROM prices JOIN edges USING (region, end_use)""",
@@ -133,7 +133,7 @@ STEPS |= {
 }
 _HEAD = "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in STEPS.items()) + "\n"
 _RECS = "customer_id, recommended_product, cluster_id, segment, l2_category, l3_category, trigger_product, round(support, 6) AS support, round(confidence, 6) AS confidence, round(lift, 6) AS lift, round(score, 6) AS score, recommended_qty"
-_SHARE = "SELECT segment, customer_id, '{prefix}' || {column} AS feature, round(coalesce(sum(total_quantity) / nullif(sum(sum(total_quantity)) OVER (PARTITION BY customer_id), 0), 0), 6) AS value FROM slim GROUP BY segment, customer_id, {column}"
+_SHARE = "SELECT segment, customer_id, '{prefix}' || {column} AS feature, round(coalesce(sum(total_quantity) / nullif(sum(sum(total_quantity)) OVER (PARTITION BY customer_id), 0), 0), 9) AS value FROM slim GROUP BY segment, customer_id, {column}"
 
 FINAL = {
     "market_basket": """SELECT * REPLACE (round(total_quantity, 6) AS total_quantity, round(total_spend, 6) AS total_spend, round(rfm_monetary, 6) AS rfm_monetary, round(rfm_recency_score, 6) AS rfm_recency_score,
@@ -145,7 +145,7 @@ FINAL = {
     "basket_summary": "SELECT count(*) AS n_rows, count(DISTINCT customer_id) AS n_customers, count(DISTINCT product_id) AS n_products, count(DISTINCT segment) AS n_segments, min(recency_days) AS min_recency, max(recency_days) AS max_recency FROM slim",
     "rfm": "SELECT customer_id, rfm_recency, rfm_frequency, round(rfm_monetary, 6) AS rfm_monetary FROM rfm",
     "rfm_scores": "SELECT customer_id, rfm_recency, rfm_frequency, round(rfm_monetary, 6) AS rfm_monetary, round(rfm_recency_score, 6) AS rfm_recency_score, round(rfm_frequency_score, 6) AS rfm_frequency_score, round(rfm_monetary_score, 6) AS rfm_monetary_score FROM scores",
-    "price_band": "SELECT * FROM bands",
+    "price_band": "SELECT * EXCLUDE (mean_price) FROM bands",
     "purchase_gaps": "SELECT customer_id, count(*) AS n_rows, sum(gap_days)::BIGINT AS sum_gap, max(gap_days) AS max_gap FROM gaps GROUP BY 1",
     "basket_window": "SELECT window_days FROM win",
     "sessions": "SELECT customer_id, basket_id, min(invoice_date) AS first_date, max(invoice_date) AS basket_date, count(*) AS n_rows, count(DISTINCT product_id) AS n_products FROM sessions GROUP BY 1, 2",
@@ -162,8 +162,8 @@ FINAL = {
     "association_rules": "SELECT * REPLACE (round(confidence, 6) AS confidence, round(support, 6) AS support, round(weighted_support, 6) AS weighted_support) FROM rules",
     "rule_invariants": "SELECT count(*) AS violations FROM rules WHERE confidence > 1 + 1e-9 OR support > 1 + 1e-9 OR weighted_support > support + 1e-9",
     "rule_summary": "SELECT count(*) AS n_rules, count(DISTINCT segment) AS n_segments, count(DISTINCT cluster_id) AS n_clusters, min(lift) AS min_lift, max(lift) AS max_lift, round(min(confidence), 6) AS min_confidence, round(max(confidence), 6) AS max_confidence FROM rules",
-    "l2_affinity": "SELECT customer_id, l2_category, round(l2_affinity, 6) AS l2_affinity FROM l2",
-    "l3_affinity": "SELECT customer_id, l3_category, round(l3_share, 6) AS l3_share FROM l3",
+    "l2_affinity": "SELECT customer_id, l2_category, round(l2_affinity, 9) AS l2_affinity FROM l2",
+    "l3_affinity": "SELECT customer_id, l3_category, round(l3_share, 9) AS l3_share FROM l3",
     "segment_popularity": "SELECT * FROM popular",
     "qty_lookup": "SELECT * FROM qty",
     "recency_score": "SELECT customer_id, round(recency_score, 6) AS recency_score FROM rec",
@@ -189,9 +189,9 @@ FINAL = {
     "proportions_l2": _SHARE.format(prefix="l2_", column="l2_category"),
     "proportions_brand": _SHARE.format(prefix="brand_", column="brand"),
     "proportions_func": _SHARE.format(prefix="func_", column="functionality"),
-    "feature_matrix_long": "SELECT segment, customer_id, feature, round(value, 6) AS value FROM matrix",
+    "feature_matrix_long": "SELECT segment, customer_id, feature, round(value, 9) AS value FROM matrix",
     "zero_variance": "SELECT segment, feature FROM stats WHERE n > 1 AND std <= 1e-12 UNION ALL SELECT segment, 'constant' FROM people GROUP BY 1 HAVING count(*) > 1",
-    "scaled_features": "SELECT z.segment, z.customer_id, z.feature, round(z, 6) AS value FROM zed z JOIN matrix m ON m.customer_id = z.customer_id AND m.feature = z.feature",
+    "scaled_features": "SELECT z.segment, z.customer_id, z.feature, round(z, 9) AS value FROM zed z JOIN matrix m ON m.customer_id = z.customer_id AND m.feature = z.feature",
     "legacy_k": "SELECT segment, count(DISTINCT customer_id) AS n_customers, CASE WHEN count(DISTINCT customer_id) < 6 THEN 1 ELSE least(4, floor(sqrt(count(DISTINCT customer_id)))) END::BIGINT AS k FROM slim GROUP BY 1",
     "nearest_centroid": "SELECT segment, customer_id, arg_min(label, (d, label)) AS label FROM distance GROUP BY ALL",
     "serve_lookup": """SELECT c.customer_id, CASE WHEN r.n > 0 THEN 'precomputed' END AS source, CASE WHEN r.n IS NULL THEN 'segment is required for a customer without recommendations' END AS error,

@@ -116,7 +116,7 @@ BY_NAME: dict[str, Callable[[Tables], DataFrame]] = {
     "basket_summary": lambda t: B.summary(t.slim),
     "rfm": lambda t: B.rfm(t.lines),
     "rfm_scores": lambda t: B.rfm_scores(B.rfm(t.lines)),
-    "price_band": lambda t: B.price_bands(t.lines),
+    "price_band": lambda t: B.price_bands(t.lines).drop("mean_price"),
     "purchase_gaps": lambda t: S.purchase_gaps(t.c.invoices).groupBy("customer_id").agg(F.count("*").alias("n_rows"), F.sum("gap_days").alias("sum_gap"), F.max("gap_days").alias("max_gap")),
     "basket_window": lambda t: S.basket_window(t.c.invoices, CONFIG),
     "sessions": lambda t: S.baskets(t.sessions),
@@ -179,9 +179,17 @@ BY_NAME: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+#: Shares are ratios of whole numbers, which often end in a five at the seventh place: they keep nine.
+SHARES = {"proportions_l2", "proportions_brand", "proportions_func", "feature_matrix_long", "scaled_features", "l2_affinity", "l3_affinity"}
+
+
+def finished(name: str, t: Tables) -> DataFrame:
+    return rounded(plain(BY_NAME[name](t).drop("reason")), 9 if name in SHARES else 6)
+
+
 def _query(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(plain(BY_NAME[name](Tables(spark, sf_dir)).drop("reason")))
+        return finished(name, Tables(spark, sf_dir))
 
     run.__name__ = name
     return run
