@@ -5,8 +5,10 @@ level, and the order is (level, hash). An n-gram is then one 64-bit key whose va
 
 * Two sets that reach the similarity share an n-gram among the first n - ceil(0.75 n) + 1 of each. The order is cut into
   fragments; each fragment gets the part of those prefixes that falls into it and lists the sets of every n-gram there.
-* A list's first set is paired with all others, short lists are paired in full. These pairs are verified: full sets are
-  cut into fragments of the order too, each counts its partial overlap of a pair, and the counts are summed per pair.
+* Short lists are paired in full; in longer ones the most central set, that with the largest share of its prefix in long
+  lists, is paired with the others. These pairs are verified: full sets are cut into fragments of the order too, each
+  counts its partial overlap of a pair, and the counts are summed per pair.
+  Before that, the sizes of a pair's parts in many fragments bound its partial overlaps: the sum of the smaller ones.
 * What is linked so far forms components. The pairs of longer lists that lie in different components are verified as
   well, and so no link between components is lost, while dense groups never have all of their pairs made.
 
@@ -37,8 +39,10 @@ SHORT = 4  #: lists up to this length are paired in full at once
 SEGMENTS = 4  #: fragments that full sets are cut into to count overlaps
 TEAM = 256  #: pairs of one set that are counted together
 BITMAP_BITS = 24  #: the filter of documents whose sets are needed has 2 ** BITMAP_BITS bits, whatever the input
-MEMO = 400_000
-FLUSH = 1 << 20  #: entries that a task holds before it emits them
+MEMO = 150_000
+CHUNK = 2 << 20  #: bytes of text whose n-grams are made at once
+FINE, COARSE, LARGE = 1024, 256, 1024  #: fragments whose sizes bound overlaps, for sets over LARGE and for others
+FLUSH = 1 << 18  #: entries that a task holds before it emits them
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
 
 
@@ -94,6 +98,31 @@ def _signature(h: np.ndarray) -> tuple[str, int]:
     return s, int(np.uint64(int(s[:16], 16)).astype(np.int64))
 
 
+def _sizes(h: np.ndarray) -> bytes | None:
+    """How many n-grams of a set fall into each of equal ranges of the hash; None where that doesn't fit."""
+    if not len(h):
+        return None
+    bits = (FINE if len(h) > LARGE else COARSE).bit_length() - 1
+    c = np.bincount((h >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return c.astype("<u2").tobytes() if c.max() < 65536 else None
+
+
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose parts are large enough for the overlap they need. Columns a, b, n_a, n_b, sizes of a, sizes of b."""
+    for batch in batches:
+        n_a, n_b = batch.column(2).to_numpy().astype(np.int64), batch.column(3).to_numpy().astype(np.int64)
+        most = np.minimum(n_a, n_b)
+        for i, (x, y) in enumerate(zip(batch.column(4), batch.column(5), strict=True)):
+            x, y = x.as_py(), y.as_py()
+            if x is None or y is None:
+                continue
+            x, y = np.frombuffer(x, "<u2").astype(np.int64), np.frombuffer(y, "<u2").astype(np.int64)
+            if len(x) != len(y):
+                x, y = x.reshape(COARSE, -1).sum(1), y.reshape(COARSE, -1).sum(1)
+            most[i] = np.minimum(x, y).sum()
+        yield batch.filter(pa.array(most >= needed(n_a, n_b))).select(["a", "b", "n_a", "n_b"])
+
+
 def needed(n_a, n_b):
     """Least overlap of sets of these sizes that reaches the similarity."""
     return -(-NUM * (n_a + n_b) // (NUM + DEN))
@@ -103,7 +132,7 @@ def prefix_length(n: int) -> int:
     return n - -(-NUM * n // DEN) + 1
 
 
-_SURVEY = "kind int, doc_id long, n long, sig string, cls long, block int, part long, cells binary"
+_SURVEY = "kind int, doc_id long, n long, sig string, cls long, sizes binary, block int, part long, cells binary"
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,18 +142,18 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def batch(kind, columns: dict) -> pa.RecordBatch:
         n = len(next(iter(columns.values())))
-        types = {"kind": pa.int32(), "doc_id": pa.int64(), "n": pa.int64(), "sig": pa.string(), "cls": pa.int64(), "block": pa.int32(), "part": pa.int64(), "cells": pa.binary()}
+        types = {"kind": pa.int32(), "doc_id": pa.int64(), "n": pa.int64(), "sig": pa.string(), "cls": pa.int64(), "sizes": pa.binary(), "block": pa.int32(), "part": pa.int64(), "cells": pa.binary()}
         columns = {"kind": [kind] * n} | columns
         return pa.RecordBatch.from_arrays([pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, t in types.items()], names=list(types))
 
     seen = False
-    for chunk in in_chunks(batches, "text"):
+    for chunk in in_chunks(batches, "text", CHUNK):
         seen = True
         sets = shingle_sets(text_bytes(chunk.column(1)))
         every = np.concatenate(sets)
-        cells += np.bincount((every >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS).astype(np.uint32)
+        np.add.at(cells, (every >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
         signs = [_signature(h) if len(h) else (None, None) for h in sets]
-        yield batch(0, {"doc_id": chunk.column(0), "n": [len(h) for h in sets], "sig": [s for s, _ in signs], "cls": [c for _, c in signs]})
+        yield batch(0, {"doc_id": chunk.column(0), "n": [len(h) for h in sets], "sig": [s for s, _ in signs], "cls": [c for _, c in signs], "sizes": [_sizes(h) for h in sets]})
     if seen:
         yield batch(1, {"block": list(range(BLOCKS)), "part": [part] * BLOCKS, "cells": [zlib.compress(c.tobytes(), 1) for c in np.split(cells, BLOCKS)]})
 
@@ -182,7 +211,7 @@ def _prefixes(shared, fragments: int):
             ends = np.append(starts[1:], len(every))
             return pa.RecordBatch.from_arrays([pa.array(fragment[starts], pa.int64()), pa.array([every[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())], names=["fragment", "entries"])
 
-        for chunk in in_chunks(batches, "text"):
+        for chunk in in_chunks(batches, "text", CHUNK):
             for h in shingle_sets(text_bytes(chunk.column(0))):
                 if not len(h):
                     continue
@@ -224,17 +253,34 @@ def _pair_batch(kind: int, a=(), b=(), n_a=(), n_b=(), lists=()) -> pa.RecordBat
 
 
 def _distinct_pairs(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray):
-    """Each pair once, the smaller class first."""
-    swap = a > b
-    a, b, n_a, n_b = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, n_b, n_a), np.where(swap, n_a, n_b)
     order = np.lexsort((b, a))
     a, b, n_a, n_b = a[order], b[order], n_a[order], n_b[order]
     new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
     return a[new], b[new], n_a[new], n_b[new]
 
 
+class _Pairs:
+    """Pairs of a task, each once as far as they are held together."""
+
+    def __init__(self) -> None:
+        self.held: list[tuple] = []
+        self.n = 0
+
+    def add(self, a, b, n_a, n_b) -> None:
+        self.held.append((a, b, n_a, n_b))
+        self.n += len(a)
+        if self.n > FLUSH:  # many lists repeat the same pairs
+            self.held = [_distinct_pairs(*map(np.concatenate, zip(*self.held, strict=True)))]
+            self.n = len(self.held[0][0])
+
+    def emit(self, least: int = 1) -> Iterator[pa.RecordBatch]:
+        if self.n >= least:
+            yield _pair_batch(0, *_distinct_pairs(*map(np.concatenate, zip(*self.held, strict=True))))
+            self.held, self.n = [], 0
+
+
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fragments: the first pairs (kind 0) and the entries of longer lists (kind 1). Rows come sorted by fragment."""
+    """Fragments: the pairs of short lists (kind 0) and the entries of longer lists (kind 1). Rows come sorted by fragment."""
     at, held = None, []
 
     def finish() -> Iterator[pa.RecordBatch]:
@@ -254,9 +300,9 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = np.cumsum(sizes) - sizes
         first = np.repeat(starts, sizes)
         place = np.arange(len(e)) - first
-        for step in range(SHORT):  # with the list's first set, and in short lists with all
+        for step in range(SHORT - 1):
             left = first + step
-            ok = (place > step) & ((step == 0) | (np.repeat(sizes, sizes) <= SHORT))
+            ok = (place > step) & (np.repeat(sizes, sizes) <= SHORT)
             right = np.flatnonzero(ok)
             left = left[right]
             if len(right):
@@ -287,42 +333,68 @@ def _flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(e["key"].astype(np.int64)), pa.array(e["cls"]), pa.array(e["n"]), pa.array(e["pos"])], names=["key", "cls", "n", "pos"])
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lists, sorted by key: pairs of different components, without the first set's, which are verified."""
-    held: list[list[np.ndarray]] = []
+def _of_lists(make):
+    """A task over lists: rows of key, cls, n, pos, score and maybe root, sorted by key; `make` pairs the sets of one."""
 
-    def pairs(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        cls, n, pos, root = columns
-        n, pos = n.astype(np.int64), pos.astype(np.int64)
-        lead = np.argmin(cls)
-        rest = np.flatnonzero(np.arange(len(cls)) != lead)
-        rest = rest[np.argsort(n[rest], kind="stable")]
-        cls, n, pos, root = cls[rest], n[rest], pos[rest], root[rest]
-        if len(rest) < 2 or (root == root[0]).all():
-            return
-        for i in range(len(cls) - 1):
-            end = np.searchsorted(n, n[i] * DEN // NUM, "right")  # sorted by size: what the length filter leaves
-            j = np.arange(i + 1, end)
-            j = j[root[j] != root[i]]
-            if len(j):
-                j = j[_passes(n[i], pos[i], n[j], pos[j])]
-            if len(j):
-                k = len(j)
-                yield _pair_batch(0, *_distinct_pairs(np.full(k, cls[i]), cls[j], np.full(k, n[i]), n[j]))
-
-    at = None
-    for batch in batches:
-        key = batch.column(0).to_numpy()
-        cols = [batch.column(i).to_numpy() for i in range(1, 5)]
-        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else []
-        for a, b in zip(starts, [*starts[1:], len(key)], strict=True):
-            if key[a] != at and held:
-                yield from pairs([np.concatenate(c) for c in zip(*held, strict=True)])
-                held = []
-            at = key[a]
-            held.append([c[a:b] for c in cols])
-    if held:
-        yield from pairs([np.concatenate(c) for c in zip(*held, strict=True)])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        out = _Pairs()
+
+        def finish() -> Iterator[pa.RecordBatch]:
+            for found in make(*(np.concatenate(c) for c in zip(*held, strict=True))):
+                out.add(*found)
+            yield from out.emit(FLUSH // 2)
+
+        at = None
+        for batch in batches:
+            key = batch.column(0).to_numpy()
+            cols = [batch.column(i).to_numpy() for i in range(1, batch.num_columns)]
+            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else []
+            for a, b in zip(starts, [*starts[1:], len(key)], strict=True):
+                if key[a] != at and held:
+                    yield from finish()
+                    held = []
+                at = key[a]
+                held.append([c[a:b] for c in cols])
+        if held:
+            yield from finish()
+        yield from out.emit()
+
+    return run
+
+
+def _lead(cls: np.ndarray, score: np.ndarray) -> int:
+    return int(np.lexsort((cls, -score))[0])
+
+
+def _star(cls, n, pos, score) -> Iterator[tuple]:
+    """The most central set with all others of its list."""
+    k = _lead(cls, score)
+    n, pos = n.astype(np.int64), pos.astype(np.int64)
+    j = np.flatnonzero(np.arange(len(cls)) != k)
+    j = j[_passes(n[k], pos[k], n[j], pos[j])]
+    if len(j):
+        yield np.full(len(j), cls[k]), cls[j], np.full(len(j), n[k]), n[j]
+
+
+def _across(cls, n, pos, score, root) -> Iterator[tuple]:
+    """Pairs of different components, without those of the star, which are verified."""
+    n, pos = n.astype(np.int64), pos.astype(np.int64)
+    rest = np.flatnonzero(np.arange(len(cls)) != _lead(cls, score))
+    rest = rest[np.argsort(n[rest], kind="stable")]
+    cls, n, pos, root = cls[rest], n[rest], pos[rest], root[rest]
+    if len(rest) < 2 or (root == root[0]).all():
+        return
+    for i in range(len(cls) - 1):
+        end = np.searchsorted(n, n[i] * DEN // NUM, "right")  # sorted by size: what the length filter leaves
+        j = np.arange(i + 1, end)
+        j = j[root[j] != root[i]]
+        if len(j):
+            j = j[_passes(n[i], pos[i], n[j], pos[j])]
+        if len(j):
+            a, b, n_a, n_b = np.full(len(j), cls[i]), cls[j], np.full(len(j), n[i]), n[j]
+            swap = a > b
+            yield np.where(swap, b, a), np.where(swap, a, b), np.where(swap, n_b, n_a), np.where(swap, n_a, n_b)
 
 
 def _bitmap(ids: DataFrame) -> np.ndarray:
@@ -343,7 +415,7 @@ def _segments(shared):
         for batch in batches:
             h = batch.column(2).to_numpy().astype(np.uint64)
             on = (bits[(h >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1)
-            for chunk in in_chunks(iter([batch.filter(pa.array(on.astype(bool)))]), "text"):
+            for chunk in in_chunks(iter([batch.filter(pa.array(on.astype(bool)))]), "text", CHUNK):
                 out: list[list] = [[], [], [], []]
                 for doc_id, s in zip(chunk.column(0).to_pylist(), shingle_sets(text_bytes(chunk.column(1))), strict=True):
                     keys = _keys(s, levels)
@@ -358,7 +430,7 @@ def _segments(shared):
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a team sorted with the shared set first: the partial overlap of every pair in a fragment."""
-    team, keys = None, None
+    team, keys, last = None, None, None
     for batch in batches:
         out: list[list] = [[] for _ in range(5)]
         a, chunk, v, b, n_a, n_b = (batch.column(i).to_pylist() for i in range(6))
@@ -366,8 +438,11 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             mine = (a[i], chunk[i], v[i])
             got = np.frombuffer(data.as_py(), np.uint64)
             if b[i] is None:
-                team, keys = mine, got
+                team, keys, last = mine, got, None
                 continue
+            if mine == team and b[i] == last:
+                continue  # a document that is there twice
+            last = b[i]
             if mine != team:
                 raise RuntimeError("a team without its shared set")
             # Both are sorted and distinct, so equal neighbours of the merged ones are shared.
@@ -381,21 +456,24 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, levels: np.ndarray) -> DataFrame:
     """The pairs that reach the similarity. pairs: a written table of a, b, n_a, n_b."""
     spark = pairs.sparkSession
-    ids = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    wanted = materialize(classes.join(ids, "cls").select("cls", F.col("least").alias("doc_id")), "join-wanted")
-    shared = spark.sparkContext.broadcast((levels, _bitmap(wanted)))
-    hashed = docs.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP_BITS)))
-    sets = hashed.mapInArrow(_segments(shared), "doc_id long, cls long, v int, keys binary")
-    sets = sets.join(wanted, ["doc_id", "cls"], "left_semi").dropDuplicates(["cls", "v"]).select("cls", "v", "keys")
-    sets = materialize(sets, "join-sets")
+    of = lambda c: classes.select(F.col("cls").alias(c), F.col("sizes").alias(f"s_{c}"))
+    pairs = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "n_b", "s_a", "s_b")
+    pairs = materialize(pairs.mapInArrow(_bounded, "a long, b long, n_a int, n_b int"), "join-bounded")
     teams = pairs.groupBy("a").agg(F.count("*").alias("deg")).select("a", F.ceil(F.col("deg") / TEAM).cast("long").alias("teams"))
-    dealt = pairs.join(teams, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("teams")))
-    others = dealt.join(sets, dealt["b"] == sets["cls"]).select("a", "chunk", "v", "b", "n_a", "n_b", "keys")
-    heads = dealt.select("a", "chunk").distinct().join(sets, F.col("a") == F.col("cls"))
+    dealt = pairs.join(teams, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("teams"))).drop("teams")
     none = F.lit(None)
-    heads = heads.select("a", "chunk", "v", none.cast("long").alias("b"), none.cast("int").alias("n_a"), none.cast("int").alias("n_b"), "keys")
+    heads = dealt.select("a", "chunk").distinct().select(F.col("a").alias("cls"), "a", "chunk", none.cast("long").alias("b"), none.cast("int").alias("n_a"), none.cast("int").alias("n_b"))
+    asked = dealt.select(F.col("b").alias("cls"), "a", "chunk", "b", "n_a", "n_b").union(heads)
+    asked = materialize(asked.join(classes.select("cls", F.col("least").alias("doc_id")), "cls"), "join-asked")
+    shared = spark.sparkContext.broadcast((levels, _bitmap(asked.select("doc_id").distinct())))
+    hashed = docs.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP_BITS)))
+    sets = hashed.mapInArrow(_segments(shared), "doc_id long, cls long, v int, keys binary")
+    # The sets are moved twice only: to those who ask, and to their teams.
     order = ["a", "chunk", "v"]
-    counted = others.union(heads).repartition(partitions(spark), *order).sortWithinPartitions(*order, F.asc_nulls_first("b"))
+    asked = asked.withColumnsRenamed({"cls": "_cls", "doc_id": "_id"})
+    met = sets.join(asked, (F.col("cls") == F.col("_cls")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    counted = met.select(*order, "b", "n_a", "n_b", "keys")
+    counted = counted.repartition(partitions(spark), *order).sortWithinPartitions(*order, F.asc_nulls_first("b"))
     parts = counted.mapInArrow(_overlaps, "a long, b long, n_a long, n_b long, shared long")
     sums = parts.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
     return sums.filter(F.col("shared") * DEN >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * NUM).select("a", "b")
@@ -416,23 +494,27 @@ def ngram_join(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> Da
     docs = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     survey = materialize(docs.mapInArrow(_survey, _SURVEY), "join-survey")
     rows = survey.filter("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "sig", "cls")
-    classes = rows.filter("sig IS NOT NULL").groupBy("sig", "cls").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_docs"))
+    classes = survey.filter("kind = 0 AND sig IS NOT NULL").groupBy("sig", "cls").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_docs"), F.first("sizes").alias("sizes"))
     classes = materialize(classes, "join-classes")
     levels = _levels(survey)
     shared = spark.sparkContext.broadcast(levels)
-    entries = docs.select("text").mapInArrow(_prefixes(shared, n), "fragment long, entries binary")
+    entries = docs.select("text").mapInArrow(_prefixes(shared, 4 * n), "fragment long, entries binary")
     listed = entries.repartition(n, "fragment").sortWithinPartitions("fragment").mapInArrow(_lists, _PAIRED)
     listed = materialize(listed, "join-lists")
 
-    pairs = lambda df: materialize(df.filter("kind = 0").select("a", "b", "n_a", "n_b").distinct(), "join-pairs")
-    links = materialize(_verified(pairs(listed), docs, classes, levels), "join-links")
+    distinct = lambda df: df.filter("kind = 0").select("a", "b", "n_a", "n_b").distinct()
+    long = materialize(listed.filter("kind = 1").select("lists").repartition(n).mapInArrow(_flatten, "key long, cls long, n int, pos int"), "join-long")
+    share = F.count("*") / (F.first("n") - F.ceil(F.first("n") * NUM / DEN) + 1)
+    long = long.join(long.groupBy("cls").agg(share.alias("score")), "cls").select("key", "cls", "n", "pos", "score")
+    stars = long.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_of_lists(_star), _PAIRED)
+    pairs = materialize(distinct(listed).union(distinct(stars)).distinct(), "join-pairs")
+    links = materialize(_verified(pairs, docs, classes, levels), "join-links")
     known = connected_components(links)
-    long = listed.filter("kind = 1").select("lists").repartition(n).mapInArrow(_flatten, "key long, cls long, n int, pos int")
-    long = long.join(known, F.col("cls") == F.col("node"), "left").select("key", "cls", "n", "pos", F.coalesce("root", "cls").alias("root"))
-    rest = pairs(long.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_across, _PAIRED))
+    rooted = long.join(known, F.col("cls") == F.col("node"), "left").select("key", "cls", "n", "pos", "score", F.coalesce("root", "cls").alias("root"))
+    rest = rooted.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_of_lists(_across), _PAIRED)
+    rest = materialize(distinct(rest), "join-rest")
     if not rest.isEmpty():
-        more = _verified(rest, docs, classes, levels)
-        known = connected_components(links.union(more))
+        known = connected_components(links.union(_verified(rest, docs, classes, levels)))
 
     places = classes.join(known, F.col("cls") == F.col("node"), "left").select("sig", "n_docs", "least", F.coalesce("root", "cls").alias("place"))
     firsts = places.groupBy("place").agg(F.min("least").alias("component_id"))

@@ -419,3 +419,11 @@ def test_long_chats_are_parts(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+
+
+def test_ngram_join_of_null_and_repeated_ids(spark):
+    a, b = " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(61))
+    other, more = " ".join(f"v{i}" for i in range(60)), " ".join(f"v{i}" for i in range(61))
+    df = table(spark, [a, b, b, other, more, more], [None, 4, 4, 7, 9, 9])
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.ngram_join(df).collect()), key=str)
+    assert got == sorted([(None, 56, 4), (4, 57, 4), (4, 57, 4), (7, 56, 7), (9, 57, 7), (9, 57, 7)], key=str)
