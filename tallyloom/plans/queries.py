@@ -22,6 +22,7 @@ from ..sources.star import load, surrogate_clusters
 
 CONFIG = EngineConfig()
 MIN_ORDERS = EngineConfig(min_order_count=10)
+LEGACY = EngineConfig(n_init=10)  #: the older clustering starts each k-means ten times
 STAGED = ("slim", "basket", "items", "rules", "assoc", "recs", "matrix")
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,7 +101,7 @@ def serve_lookup(t: Tables) -> DataFrame:
 
 
 def fitted(t: Tables) -> DataFrame:
-    return C.fit_clusters(t.basket, EngineConfig(n_init=3, max_k=5))
+    return C.fit_clusters(t.basket, CONFIG)
 
 
 def legacy_k(t: Tables) -> DataFrame:
@@ -163,7 +164,7 @@ BY_NAME: dict[str, Callable[[Tables], DataFrame]] = {
     "kmeans_clusters": lambda t: C.customer_clusters(fitted(t)),
     "cluster_diagnostics": lambda t: C.diagnostics(fitted(t)),
     "model_registry": lambda t: C.model_registry(fitted(t), 1, "Approved", "2024-01-01").drop("feature_cols"),
-    "legacy_clusters": lambda t: C.customer_clusters(C.fit_clusters(t.basket, EngineConfig(n_init=3), "raw_l2", "sqrt")),
+    "legacy_clusters": lambda t: C.customer_clusters(C.fit_clusters(t.basket, LEGACY, "raw_l2", "sqrt")),
     "nearest_centroid": nearest,
     "serve_lookup": serve_lookup,
     "recommendation_checks": lambda t: A.invariants(t.recs, t.slim, CONFIG),

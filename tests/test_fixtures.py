@@ -199,3 +199,17 @@ def test_config():
         EngineConfig(top_k=0)
     with pytest.raises(KeyError):
         EngineConfig.parse({"Nonsense": "1"})
+
+
+def test_registered_clusterings_run_the_whole_job(monkeypatch):
+    """The reference's defaults: MaxK 8 and NInit 15; the older clustering has 10 starts."""
+    from types import SimpleNamespace
+
+    from tallyloom.plans import queries
+
+    asked = []
+    monkeypatch.setattr(cluster, "fit_clusters", lambda basket, config, *rest: asked.append((config.n_init, config.max_k, rest)))
+    monkeypatch.setattr(cluster, "customer_clusters", lambda fitted: fitted)
+    queries.fitted(SimpleNamespace(basket=None))
+    queries.BY_NAME["legacy_clusters"](SimpleNamespace(basket=None))
+    assert asked == [(15, 8, ()), (10, 8, ("raw_l2", "sqrt"))]
