@@ -1,14 +1,16 @@
 """Benchmark decontamination by greedy string tiling.
 
-A Bloom filter of fixed size holds the seeds, all runs of MATCH words of the benchmark; documents without a hit are done
-with. The others' seeds are joined with those of the items, which gives the pairs worth tiling. A pair is tiled on whole
+A Bloom filter of fixed size holds the seeds, all runs of MATCH words of the benchmark and the whole of shorter items;
+documents without a hit are done with. The others' seeds are joined with those of the items, which gives the pairs worth tiling. A pair is tiled on whole
 texts: Karp-Rabin hashes of running windows give all common runs, and the longest that meets no tile is marked again and
-again. An item leaks when tiles cover COVERAGE of its words, in whatever order they stand in the document.
+again. An item leaks when tiles cover COVERAGE of its words, in whatever order they stand in the document; one shorter than
+a tile leaks where it stands as a whole.
 """
 
 from __future__ import annotations
 
 import heapq
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +27,10 @@ COVERAGE = 0.5  #: share of an item's words in tiles from which it leaks
 FILTER_BITS = 24  #: the seed filter has 2 ** FILTER_BITS bits, whatever the benchmark
 SHIFTS = (0, 20, 40)  #: a seed's bits start at these places of its hash
 MEMO = 400_000
-#: Letters and digits, lower-cased A-Z; all other ASCII divides words.
+#: Letters and digits, lower-cased A-Z; all other ASCII divides words, and other characters are split before.
 _CLEAN = bytes(b | 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+#: Blocks of scripts that put no spaces between words (Thai and Lao, Burmese, Khmer, the Tai scripts, Balinese, Javanese, kana, Han, Yi).
+_UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF)]
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(MATCH)], np.uint64)
 
 
@@ -41,18 +45,42 @@ class _Words(dict):
 _WORDS = _Words()
 
 
+class _Splits(dict):
+    """Code point to what stands for it where words are split."""
+
+    def __missing__(self, point: int) -> str:
+        c, kind = chr(point), unicodedata.category(chr(point))
+        if point < 128:
+            to = c
+        elif kind == "Me" or (kind == "Cf" and point != 0x200B) or 0xFE00 <= point <= 0xFE0F or 0xE0100 <= point <= 0xE01EF:
+            to = ""  # soft hyphens, joiners, selectors: they don't show
+        elif not (c.isalnum() or kind in ("Mn", "Mc")):
+            to = " "
+        else:
+            to = f" {c} " if any(a <= point <= b for a, b in _UNSPACED) else c
+        self[point] = to
+        return to
+
+
+_SPLITS = _Splits()
+
+
 def words_of(text: bytes) -> np.ndarray:
+    if not text.isascii():
+        chars = text.decode("utf-8", "replace")
+        if any(_SPLITS[ord(c)] != c for c in set(chars)):
+            text = chars.translate(_SPLITS).encode()
     words = text.translate(_CLEAN).split()
     return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
 
 
-def seeds_of(words: np.ndarray) -> np.ndarray:
-    """The Karp-Rabin hash of every window of MATCH words."""
-    n = len(words) - MATCH + 1
+def seeds_of(words: np.ndarray, size: int = MATCH) -> np.ndarray:
+    """The Karp-Rabin hash of every window of size words, MATCH at most."""
+    n = len(words) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     out = np.zeros(n, np.uint64)
-    for k in range(MATCH):
+    for k in range(size):
         out += words[k : k + n] * _POWERS[k]
     return (out ^ (out >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
 
@@ -101,6 +129,9 @@ def tile(item: np.ndarray, doc: np.ndarray) -> list[tuple[int, int, int]]:
 
 
 def coverage(item: np.ndarray, doc: np.ndarray) -> float:
+    n = len(item)
+    if 0 < n < MATCH:  # no tile: the whole item or nothing
+        return float(len(doc) >= n and np.all([doc[k : len(doc) - n + 1 + k] == item[k] for k in range(n)], axis=0).any())
     return sum(n for n, _, _ in tile(item, doc)) / len(item) if len(item) else 0.0
 
 
@@ -109,7 +140,7 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for ident, text in zip(batch.column(0), text_bytes(batch.column(1)), strict=True):
             words = words_of(text)
-            seeds = np.unique(seeds_of(words))
+            seeds = np.unique(seeds_of(words, min(MATCH, max(1, len(words)))))
             if len(seeds):
                 yield pa.RecordBatch.from_arrays([pa.array([str(row)], pa.string()), pa.array([ident.as_py()], pa.int64()), pa.array([len(words)], pa.int64()), pa.array([words.tobytes()], pa.binary()), pa.array([seeds.astype(np.int64).tolist()], pa.list_(pa.int64()))], names=["item", "item_id", "n_words", "words", "seeds"])
             row += 1
@@ -129,7 +160,9 @@ def _seed_filter(items: DataFrame) -> np.ndarray:
 _HITS = "row long, doc_id long, seeds array<long>, text binary"
 
 
-def _hits(shared):
+def _hits(shared, sizes: list[int]):
+    """sizes: the lengths of the windows that the benchmark's seeds are of."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         row = TaskContext.get().partitionId() << 40
@@ -137,7 +170,8 @@ def _hits(shared):
             texts = text_bytes(chunk.column(1))
             seeds, kept = [], []
             for text in texts:
-                s = seeds_of(words_of(text))
+                words = words_of(text)
+                s = np.concatenate([np.zeros(0, np.uint64), *[seeds_of(words, size) for size in sizes]])
                 for shift in SHIFTS:
                     s = s[bits[((s >> np.uint64(shift)) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)]]
                 s = np.unique(s)
@@ -165,8 +199,9 @@ def _tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_items (items that leak into it), worst_item, coverage (the largest), contaminated.
 
-    Words are runs of letters and digits, lower-cased A-Z. Items with fewer than MATCH words can't be told from chance and
-    leak nowhere; null texts count as empty. coverage is over the pairs that could leak, 0 where there are none; of items
+    Words are runs of letters and digits with their marks, lower-cased A-Z; in scripts without spaces every character is a
+    word. Items with fewer than MATCH words leak where all their words stand in a row, also those of one word; null texts
+    count as empty, and items without words leak nowhere. coverage is over the pairs that could leak, 0 where there are none; of items
     with the same coverage the smallest id is worst. Repeated rows are judged alike; other columns are ignored, whatever
     their names. An empty table on either side gives no contaminated rows.
     """
@@ -174,14 +209,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id",
     bench = benchmark.select(F.col(item).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
     items = materialize(bench.mapInArrow(_items, "item string, item_id long, n_words long, words binary, seeds array<long>"), "bench-items")
     shared = spark.sparkContext.broadcast(_seed_filter(items))
+    window = F.least(F.col("n_words"), F.lit(MATCH))
+    sizes = sorted(r[0] for r in items.select(window).distinct().collect())  # MATCH at most
     source = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = materialize(source.mapInArrow(_hits(shared), _HITS), "bench-hits")
+    rows = materialize(source.mapInArrow(_hits(shared, sizes), _HITS), "bench-hits")
 
     # A leak of an item needs `least` of its distinct seeds, so all but its least - 1 most common ones find it.
     seeds = items.select("item", "n_words", F.size("seeds").alias("n_seeds"), F.explode("seeds").alias("seed"))
     common = seeds.groupBy("seed").agg(F.count("*").alias("items"))
     rare = Window.partitionBy("item").orderBy("items", "seed")
-    repeats = F.col("n_words") - MATCH + 1 - F.col("n_seeds")  # windows that repeat another one of the item
+    repeats = F.col("n_words") - window + 1 - F.col("n_seeds")  # windows that repeat another one of the item
     least = F.greatest(F.lit(1), F.ceil(F.col("n_words") * COVERAGE / MATCH) - repeats)
     index = seeds.join(common, "seed").withColumn("k", F.row_number().over(rare)).filter(F.col("k") <= F.col("n_seeds") - least + 1)
     found = rows.filter("text IS NOT NULL").select("row", F.explode("seeds").alias("s"))

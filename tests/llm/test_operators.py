@@ -229,6 +229,20 @@ def test_decontaminate(spark):
     assert sorted(r.doc_id for r in decontaminate.clean(table(spark, texts), bench).collect()) == [2, 3, 4, 5]
 
 
+def test_decontaminate_in_other_scripts_and_short_items(spark):
+    han, thai = "今天天气很好我们去公园散步", "วันนี้อากาศดีมาก"
+    quoted = "il dit «bonjour à tous» — puis s’en va très loin d’ici"
+    plain = "il dit \"bonjour à tous\" - puis s'en\u00a0va très loin d'ici"
+    hindi = "यह एक परीक्षा है जो हिन्दी में लिखी गई है"
+    bench = spark.createDataFrame([(1, han), (2, thai), (3, quoted), (4, "Who wrote Faust?"), (5, "東京都"), (6, hindi), (7, "—")], "item_id long, text string")
+    texts = [f"前面{han}后面", f"ก่อน{thai}หลัง", plain, "so who wrote “Faust” then", "私は東京都に住む", f"({hindi})"]
+    others = ["天气", "who wrote of Faust", "東 a 京 都", "Faust who wrote", "—", "bonjour à tous"]
+    got = {r.doc_id: r for r in decontaminate.decontaminate(table(spark, texts + others), bench).collect()}
+    assert [(got[i].worst_item, got[i].coverage) for i in range(6)] == [(k, 1.0) for k in (1, 2, 3, 4, 5, 6)]
+    assert not any(got[i].contaminated for i in range(6, 12))
+    assert len(decontaminate.words_of("soft\u00adhyphen ☺\ufe0f e\u0301t a中b".encode())) == 5
+
+
 # -- packing ------------------------------------------------------------------------------------------------------------
 
 
