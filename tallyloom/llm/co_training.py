@@ -1,8 +1,8 @@
 """Quality by co-training: a view of the text and one of the page's metadata teach each other.
 
 Both views are linear classifiers over hashed features: words and their shapes in one, source, language and length in the
-other. They start from labels; in every round each hands the other the documents of an unlabelled pool that it is most
-confident of. On labels kept aside the views' scores are calibrated and weighed against each other; the combination scores
+other. They start from labels; in every round each scores all unlabelled documents outside the held-out fold and hands the
+other those that it is most confident of and hasn't handed over yet. Features are written once and read in every round. On labels kept aside the views' scores are calibrated and weighed against each other; the combination scores
 all documents.
 """
 
@@ -15,15 +15,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import in_chunks, materialize
 
 LABELLED = 6000  #: labelled documents that are trained on at most, at every size of input
-POOL = 6000  #: unlabelled documents of the pool, likewise
 ROUNDS = 3
-HANDED = 600  #: pseudo-labels that a view hands over in a round at most
+HANDED = 600  #: documents of either pseudo-label that a view hands over in a round at most
+BUCKETS = 32  #: groups that the tasks' candidates are dealt to
 CONFIDENT = 0.95
 KEPT = 0.5  #: score from which a document is kept
 WORD_CELLS, SHAPE_CELLS, STAT_CELLS, META_CELLS = 1 << 15, 1 << 12, 1 << 6, 1 << 10
@@ -120,27 +121,14 @@ class CoTrained:
         self.meta = Linear(META_CELLS, 1e-3)
         self.mix = np.array([0.0, 1.0, 0.0])  #: bias, weight of the text's score, of the metadata's
         self.alone = np.array([[0.0, 1.0], [0.0, 1.0]])  #: bias and slope of either view's own calibration
+        self.given: dict[str, dict[str, int]] = {"text": {}, "meta": {}}  #: pseudo-labels that a view was handed, by document
 
     def fit(self, rows: list[dict]) -> CoTrained:
-        """rows: text, meta (features), y (1, 0 or None), aside (kept for calibration)."""
-        train = [r for r in rows if r["y"] is not None and not r["aside"]]
-        aside = [r for r in rows if r["y"] is not None and r["aside"]]
-        pool = [r for r in rows if r["y"] is None]
-        given: dict[str, dict[int, int]] = {"text": {}, "meta": {}}  # pseudo-labels, by place in the pool
-        views = {"text": self.text, "meta": self.meta}
-        for turn in range(ROUNDS + 1):
-            for name, model in views.items():
-                extra = given[name]
-                data = [r[name] for r in train] + [pool[i][name] for i in extra]
-                model.fit(data, np.array([r["y"] for r in train] + list(extra.values()), float))
-            if turn == ROUNDS or not pool:
-                break
-            for name, other in (("text", "meta"), ("meta", "text")):
-                p = sigmoid(np.array([views[name].score(r[name]) for r in pool]))
-                for label, sure in ((1, p), (0, 1 - p)):
-                    best = np.argsort(-sure, kind="stable")[:HANDED]
-                    for i in best[sure[best] >= CONFIDENT].tolist():
-                        given[other].setdefault(i, label)
+        """rows: text, meta (features), y (1 or 0), aside (kept for calibration), to (the view a pseudo-label is for, else None)."""
+        aside = [r for r in rows if r["to"] is None and r["aside"]]
+        for name, model in (("text", self.text), ("meta", self.meta)):
+            train = [r for r in rows if r["to"] == name or (r["to"] is None and not r["aside"])]
+            model.fit([r[name] for r in train], np.array([r["y"] for r in train], float))
         y = np.array([r["y"] for r in aside], float)
         if 0 < y.sum() < len(y):
             s = np.array([[self.text.score(r["text"]), self.meta.score(r["meta"])] for r in aside])
@@ -148,10 +136,20 @@ class CoTrained:
             self.mix = calibrate(s, y)
         return self
 
-    def scores(self, text, meta) -> tuple[float, float, float]:
-        a, b = self.text.score(text), self.meta.score(meta)
-        alone = [float(sigmoid(self.alone[k][0] + self.alone[k][1] * z)) for k, z in enumerate((a, b))]
-        return alone[0], alone[1], float(sigmoid(self.mix[0] + self.mix[1] * a + self.mix[2] * b))
+    def margins(self, tc: list[bytes], tv: list[bytes], mc: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The views' scores of written features, many documents at once."""
+
+        def dot(view: Linear, cells: list[bytes], values: np.ndarray | None) -> np.ndarray:
+            at = np.frombuffer(b"".join(cells), np.uint16)
+            row = np.repeat(np.arange(len(cells)), [len(c) // 2 for c in cells])
+            w = view.w[at]
+            return np.bincount(row, w if values is None else w * values, len(cells)) + view.b
+
+        return dot(self.text, tc, np.frombuffer(b"".join(tv), np.float32)), dot(self.meta, mc, None)
+
+    def scores(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        alone = [sigmoid(self.alone[k][0] + self.alone[k][1] * z) for k, z in enumerate((a, b))]
+        return alone[0], alone[1], sigmoid(self.mix[0] + self.mix[1] * a + self.mix[2] * b)
 
 
 def calibrate(scores: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -165,47 +163,130 @@ def calibrate(scores: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+_FEATURES = "row long, doc_id long, held_out boolean, y int, aside boolean, h long, tc binary, tv binary, mc binary"
+
+
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    row = TaskContext.get().partitionId() << 40
     for batch in batches:
-        text, source, lang, y, aside = (batch.column(i).to_pylist() for i in range(1, 6))
-        t = [text_features(x) for x in text]
-        m = [meta_features(s, g, len(x or "")) for s, g, x in zip(source, lang, text, strict=True)]
-        columns = [[f[0].tobytes() for f in t], [f[1].tobytes() for f in t], [f[0].tobytes() for f in m], [f[1].tobytes() for f in m]]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.binary()) for c in columns], pa.array(y, pa.int32()), pa.array(aside, pa.bool_())], names=["doc_id", "tc", "tv", "mc", "mv", "y", "aside"])
+        for chunk in in_chunks(iter([batch]), "text"):
+            text, source, lang = (chunk.column(i).to_pylist() for i in range(5, 8))
+            t = [text_features(x) for x in text]
+            m = [meta_features(s, g, len(x or ""))[0] for s, g, x in zip(source, lang, text, strict=True)]
+            cells = [[f[0].astype(np.uint16).tobytes() for f in t], [f[1].tobytes() for f in t], [c.astype(np.uint16).tobytes() for c in m]]
+            n = len(text)
+            yield pa.RecordBatch.from_arrays([pa.array(range(row, row + n), pa.int64()), *[chunk.column(i) for i in range(5)], *[pa.array(c, pa.binary()) for c in cells]], names=[f.split()[0] for f in _FEATURES.split(", ")])
+            row += n
+
+
+_TRAINING = ["doc_id", "y", "aside", "tc", "tv", "mc", "to"]
 
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = [r for batch in batches for r in batch.to_pylist()]
-    rows.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"], r["tc"]))
-    data = [{"text": (np.frombuffer(r["tc"], np.int32), np.frombuffer(r["tv"], np.float32)), "meta": (np.frombuffer(r["mc"], np.int32), np.frombuffer(r["mv"], np.float32)), "y": r["y"], "aside": r["aside"]} for r in rows]
+    rows.sort(key=lambda r: (r["to"] or "", r["doc_id"] is None, r["doc_id"] or 0, r["tc"], r["mc"]))
+    data = []
+    for r in rows:
+        meta = np.frombuffer(r["mc"], np.uint16)
+        data.append({"text": (np.frombuffer(r["tc"], np.uint16), np.frombuffer(r["tv"], np.float32)), "meta": (meta, np.ones(len(meta), np.float32)), "y": r["y"], "aside": r["aside"], "to": r["to"]})
     m = CoTrained().fit(data)
     values = [m.text.w.astype(np.float32).tobytes(), m.meta.w.astype(np.float32).tobytes(), np.array([m.text.b, m.meta.b, *m.mix, *m.alone.ravel()]).tobytes()]
     yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in values], names=["text", "meta", "rest"])
 
 
+_PICKS = "to string, y int, sure double, h long, key string, row long"
+
+
+def _surest(model, most: int):
+    """A task's `most` surest documents for either view and label, each once and without those handed over before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: CoTrained = model.value
+        best: dict[tuple[str, int], list[tuple]] = {(to, y): [] for to in m.given for y in (1, 0)}
+        bar = dict.fromkeys(best, CONFIDENT)
+
+        def prune(k: tuple[str, int]) -> None:
+            once = {}
+            for r in sorted(best[k]):
+                if len(once) < most:
+                    once.setdefault(r[2], r)
+            best[k] = list(once.values())
+            if len(once) == most:
+                bar[k] = -best[k][-1][0]
+
+        for batch in batches:
+            row, ident, h, tc, tv, mc = (batch.column(i).to_pylist() for i in range(6))
+            a, b = m.margins(tc, tv, mc)
+            for to, z in (("meta", a), ("text", b)):
+                p = sigmoid(z)
+                for y, sure in ((1, p), (0, 1 - p)):
+                    k = to, y
+                    for i in np.flatnonzero(sure >= bar[k]).tolist():
+                        key = f"~{row[i]}" if ident[i] is None else str(ident[i])
+                        if key not in m.given[to]:
+                            best[k].append((-float(sure[i]), h[i], key, row[i]))
+                    if len(best[k]) > 4 * most:
+                        prune(k)
+        for k in best:
+            prune(k)
+        out = [(*k, -s, h, key, row) for k, rows in best.items() for s, h, key, row in rows]
+        kinds = [pa.string(), pa.int32(), pa.float64(), pa.int64(), pa.string(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=[f.split()[0] for f in _PICKS.split(", ")])
+
+    return run
+
+
+def _handed(features: DataFrame, model: CoTrained) -> DataFrame:
+    """What the views hand over in a round: HANDED documents at most for either view and label, out of all unlabelled ones."""
+    shared = features.sparkSession.sparkContext.broadcast(model)
+    pool = features.filter("y IS NULL AND NOT held_out").select("row", "doc_id", "h", "tc", "tv", "mc")
+    first = F.min(F.struct((-F.col("sure")).alias("s"), "h", "row")).alias("r")
+    each = pool.mapInArrow(_surest(shared, HANDED), _PICKS).groupBy("to", "y", "key").agg(first)
+    each = each.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)))
+    for group in (["to", "y", "bucket"], ["to", "y"]):  # the last step gets BUCKETS * HANDED rows a group at most
+        each = each.withColumn("k", F.row_number().over(Window.partitionBy(*group).orderBy("r", "key"))).filter(F.col("k") <= HANDED)
+    return materialize(each.select("to", "y", "key", F.col("r.row").alias("row")), "co-picks")
+
+
 def held_out(ident):
     return F.coalesce(F.crc32(ident.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", label: str = "quality") -> CoTrained:
-    """Fit on LABELLED labels of least id hash and a pool of about POOL documents, the same bounds at every size of input."""
-    rows = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(source).cast("string").alias("source"), F.col(lang).cast("string").alias("lang"))
+def featured(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", label: str = "quality") -> DataFrame:
+    """The written features of all rows; y is set for the LABELLED labels of least id hash, the same bound at every size of input."""
+    rows = docs.select(F.col(ident).cast("long").alias("doc_id"), held_out(F.col(ident)).alias("held_out"), F.col(text).cast("string").alias("text"), F.col(source).cast("string").alias("source"), F.col(lang).cast("string").alias("lang"))
     h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
     y = labels.select(F.col(ident).cast("long").alias("doc_id"), F.col(label).cast("double").alias("y")).filter(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("doc_id")))
     y = y.groupBy("doc_id").agg(F.avg("y").alias("y")).filter("y <> 0.5").select("doc_id", F.when(F.col("y") > 0.5, 1).otherwise(0).alias("y"))
     y = materialize(y.orderBy(h, "doc_id").limit(LABELLED), "co-labels")  # at most LABELLED small rows: broadcast
-    n = rows.select("doc_id").count()
-    pool = F.lit(int(min(1.0, POOL / max(1, n)) * (1 << 40)))
-    known = rows.join(F.broadcast(y), "doc_id", "left").filter(F.col("y").isNotNull() | ((h < pool) & ~held_out(F.col("doc_id"))))
     aside = F.pmod(F.xxhash64("doc_id", F.lit("aside")), F.lit(5)) == 0
-    sample = known.dropDuplicates(["doc_id"]).select("doc_id", "text", "source", "lang", "y", aside.alias("aside"))
-    featured = sample.mapInArrow(_featured, "doc_id long, tc binary, tv binary, mc binary, mv binary, y int, aside boolean")
-    got = featured.repartition(1).mapInArrow(_train, "text binary, meta binary, rest binary").first()
+    known = rows.join(F.broadcast(y), "doc_id", "left").select("doc_id", "held_out", "y", aside.alias("aside"), h.alias("h"), "text", "source", "lang")
+    return materialize(known.mapInArrow(_featured, _FEATURES), "co-features")
+
+
+def train(features: DataFrame) -> CoTrained:
+    """Fit on the labelled rows, then ROUNDS times also on what the views hand each other."""
+    known = features.filter("y IS NOT NULL").dropDuplicates(["doc_id"]).withColumn("to", F.lit(None).cast("string"))
+    data = materialize(known.select(_TRAINING), "co-labelled")
     model = CoTrained()
-    if got is not None:
+    if data.isEmpty():
+        return model
+    for turn in range(ROUNDS + 1):
+        given, model = model.given, CoTrained()
+        got = data.repartition(1).mapInArrow(_train, "text binary, meta binary, rest binary").first()
         model.text.w, model.meta.w = np.frombuffer(got["text"], np.float32).astype(float), np.frombuffer(got["meta"], np.float32).astype(float)
         rest = np.frombuffer(got["rest"])
-        model.text.b, model.meta.b, model.mix, model.alone = float(rest[0]), float(rest[1]), rest[2:5], rest[5:9].reshape(2, 2)
+        model.text.b, model.meta.b, model.mix, model.alone, model.given = float(rest[0]), float(rest[1]), rest[2:5], rest[5:9].reshape(2, 2), given
+        if turn == ROUNDS:
+            break
+        picks = _handed(features, model)
+        found = picks.collect()  # at most 4 * HANDED
+        if not found:
+            break
+        for r in found:
+            model.given[r["to"]][r["key"]] = r["y"]
+        more = features.drop("y").join(F.broadcast(picks), "row").select(_TRAINING)
+        data = data.unionByName(materialize(more, "co-handed"))
     return model
 
 
@@ -218,17 +299,14 @@ def score_quality(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", tex
     without any, all scores are 0.5 and all rows are kept. Repeated rows are scored alike; other columns are ignored,
     whatever their names; an empty table gives an empty result.
     """
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, ident, text, source, lang, label))
+    features = featured(docs, labels, ident, text, source, lang, label)
+    model = docs.sparkSession.sparkContext.broadcast(train(features))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for batch in batches:
-            got = []
-            for t, s, g in zip(batch.column(2), batch.column(3), batch.column(4), strict=True):
-                t = t.as_py() or ""
-                got.append(m.scores(text_features(t), meta_features(s.as_py(), g.as_py(), len(t))))
-            a, b, c = ([x[k] for x in got] for k in range(3))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(v, pa.float64()) for v in (a, b, c)], pa.array([x >= KEPT for x in c], pa.bool_())], names=["doc_id", "held_out", "text_score", "meta_score", "score", "kept"])
+            got = m.scores(*m.margins(*(batch.column(i).to_pylist() for i in range(2, 5))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(v, pa.float64()) for v in got], pa.array(got[2] >= KEPT, pa.bool_())], names=["doc_id", "held_out", "text_score", "meta_score", "score", "kept"])
 
-    rows = docs.select(F.col(ident).cast("long").alias("doc_id"), held_out(F.col(ident)).alias("held_out"), F.col(text).cast("string").alias("text"), F.col(source).cast("string").alias("source"), F.col(lang).cast("string").alias("lang"))
+    rows = features.select("doc_id", "held_out", "tc", "tv", "mc")
     return rows.mapInArrow(run, "doc_id long, held_out boolean, text_score double, meta_score double, score double, kept boolean")

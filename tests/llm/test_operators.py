@@ -186,6 +186,18 @@ def test_co_training(spark):
     assert co_training.score_quality(empty(spark), labels).isEmpty()
 
 
+def test_co_training_hands_over_new_documents_of_the_whole_table(spark, monkeypatch):
+    monkeypatch.setattr(co_training, "HANDED", 7)
+    texts = [f"w{i % 50} plain words" if i % 2 else f"w{i % 50} !!! ###" for i in range(800)]
+    docs = table(spark, texts + [texts[41]], [*range(800), 41]).withColumn("source", F.when(F.col("doc_id") % 2 == 1, "a").otherwise("b"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    given = co_training.train(co_training.featured(docs, labels)).given
+    for handed in given.values():
+        ids = {int(k): y for k, y in handed.items()}
+        assert [list(ids.values()).count(y) for y in (0, 1)] == [7 * co_training.ROUNDS] * 2
+        assert all(i >= 40 and zlib.crc32(str(i).encode()) % 4 != 2 and y == i % 2 for i, y in ids.items())
+
+
 # -- benchmark ----------------------------------------------------------------------------------------------------------
 
 
