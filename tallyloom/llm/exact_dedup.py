@@ -1,10 +1,11 @@
 """Exact duplicates by Patricia-trie owners.
 
-Map tasks insert whole texts into a local compressed radix trie, so a text with any number of copies leaves a task once.
-The survivors are dealt to owners by (length, content hash) and arrive sorted by it; owners insert them into tries whose
-terminals keep the extreme identifier and the number of rows. When an owner holds more than its budget, the subtrees left
-of the current (length, hash), which are complete by the sort order, are emitted and freed; what has to go to disk is
-spilled by Spark's external sort, so no private temporary files are needed and a lost executor costs only its tasks.
+Map tasks insert whole texts into a local compressed radix trie, so a text with any number of copies leaves a task once;
+over its budget, a trie lets its largest subtrees go. What is left is dealt to owners by length and content hash. An owner
+inserts all texts of its partition into one trie, in the order of their bytes, so whatever lies left of the current text
+is complete: over the budget those subtrees are emitted and freed. Terminals keep the extreme identifier and the number of
+rows. What has to go to disk is spilled by Spark's external sort, so no private temporary files are needed and a lost
+executor costs only its tasks.
 """
 
 from __future__ import annotations
@@ -16,29 +17,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, materialize, partitions, skewed_lookup, text_bytes
+from .common import LOWER_AZ, fresh, materialize, one_row_each, partitions, skewed_lookup, text_bytes, with_text_key
 
-BUDGET = 48 << 20  #: bytes of text that a trie holds before it lets go of subtrees
+BUDGET = 64 << 20  #: bytes that a trie holds before it lets go of subtrees, its nodes included
+NODE = 400  #: bytes of a node with its terminal, besides its label
+BATCH = 8 << 20  #: bytes of text that are emitted at once
 
 
 class PatriciaTrie:
-    """Compressed radix trie of byte strings; a terminal keeps [largest id or None, rows]."""
+    """Compressed radix trie of byte strings; a terminal keeps [largest id or None, rows]. A node is [label, children, terminal]."""
 
     __slots__ = ("held", "root")
 
     def __init__(self) -> None:
-        self.root: list = [b"", {}, None]  # label, children by first byte, terminal
+        self.root: list = [b"", None, None]
         self.held = 0
 
-    def insert(self, key: bytes, ident: int | None, rows: int = 1) -> list:
-        """Add rows of key; returns its terminal."""
+    def insert(self, key: bytes, ident: int | None, rows: int = 1) -> None:
         node, at, end = self.root, 0, len(key)
         while at < end:
-            child = node[1].get(key[at])
+            child = node[1].get(key[at]) if node[1] else None
             if child is None:
-                child = [key[at:], {}, None]
+                child = [key[at:], None, None]
+                if node[1] is None:
+                    node[1] = {}
                 node[1][key[at]] = child
-                self.held += end - at
+                self.held += end - at + NODE
                 node = child
                 break
             label = child[0]
@@ -50,6 +54,7 @@ class PatriciaTrie:
             upper = [label[:same], {label[same]: child}, None]
             child[0] = label[same:]
             node[1][key[at]] = upper
+            self.held += NODE
             node = upper
             at += same
         if node[2] is None:
@@ -59,15 +64,56 @@ class PatriciaTrie:
             last[1] += rows
             if ident is not None and (last[0] is None or ident > last[0]):
                 last[0] = ident
-        return node[2]
 
     def items(self) -> Iterator[tuple[bytes, list]]:
-        stack = [(b"", self.root)]
-        while stack:
-            before, (label, children, last) = stack.pop()
-            path = before + label
-            if last is not None:
-                yield path, last
+        yield from subtree(b"", self.root)
+
+    def release(self, keep: int) -> Iterator[tuple[bytes, list]]:
+        """Takes out the largest subtrees below the root until `keep` bytes are held at most; gives what they had."""
+        children = self.root[1] or {}
+        sizes = {c: sum(len(n[0]) + NODE for n in nodes(child)) for c, child in children.items()}
+        for c in sorted(sizes, key=lambda c: (-sizes[c], c)):
+            if self.held <= keep:
+                break
+            self.held -= sizes[c]
+            yield from subtree(b"", children.pop(c))
+
+    def finished(self, key: bytes) -> Iterator[tuple[bytes, list]]:
+        """Takes out all but the path to `key`, the last text in order of bytes; gives what that had."""
+        node, path, at = self.root, b"", 0
+        while True:
+            if at < len(key) and node[2] is not None:
+                yield path, node[2]
+                node[2] = None
+            on = key[at] if at < len(key) else None
+            for c in [c for c in (node[1] or {}) if c != on]:
+                yield from subtree(path, node[1].pop(c))
+            if on is None:
+                break
+            node = node[1][on]
+            path += node[0]
+            at = len(path)
+        self.held = sum(len(n[0]) + NODE for n in nodes(self.root))
+
+
+def nodes(node: list) -> Iterator[list]:
+    stack = [node]
+    while stack:
+        node = stack.pop()
+        yield node
+        if node[1]:
+            stack.extend(node[1].values())
+
+
+def subtree(before: bytes, node: list) -> Iterator[tuple[bytes, list]]:
+    """The texts of a subtree and their terminals."""
+    stack = [(before, node)]
+    while stack:
+        before, (label, children, last) = stack.pop()
+        path = before + label
+        if last is not None:
+            yield path, last
+        if children:
             stack.extend((path, child) for child in children.values())
 
 
@@ -87,64 +133,54 @@ def _digest(text: bytes) -> bytes:
     return hashlib.sha256(text).digest()
 
 
+def _in_batches(found: Iterator[tuple[bytes, list]], make) -> Iterator[pa.RecordBatch]:
+    rows, held = [], 0
+    for text, (ident, n) in found:
+        rows.append((text, ident, n))
+        held += len(text) + 100
+        if held > BATCH:
+            yield make(rows)
+            rows, held = [], 0
+    if rows:
+        yield make(rows)
+
+
 def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each distinct text of a task, as far as the budget goes."""
     trie = PatriciaTrie()
-
-    def emit(size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-        rows, held = [], 0
-        for text, (ident, n) in trie.items():
-            rows.append((len(text), _digest(text)[:8], text, ident, n))
-            held += len(text)
-            if held > size:
-                yield _batch(rows)
-                rows, held = [], 0
-        if rows:
-            yield _batch(rows)
-
     for batch in batches:
         for ident, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
             trie.insert(text.translate(LOWER_AZ), ident)
             if trie.held > BUDGET:
-                yield from emit()
-                trie = PatriciaTrie()
-    yield from emit()
+                yield from _in_batches(trie.release(BUDGET // 2), _batch)
+    yield from _in_batches(trie.items(), _batch)
 
 
 _TEXTS = pa.schema([("len", pa.int64()), ("hash", pa.binary()), ("text", pa.binary()), ("ident", pa.int64()), ("n", pa.int64())])
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    rows = [(len(text), _digest(text)[:8], text, ident, n) for text, ident, n in rows]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _TEXTS, strict=True)], schema=_TEXTS)
 
 
 _CLASSES = pa.schema([("text_sha256", pa.string()), ("keep_id", pa.int64()), ("group_size", pa.int64())])
 
 
-def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (length, hash): one trie a key; complete ones go when the budget is passed."""
-    tries: dict[tuple[int, bytes], PatriciaTrie] = {}
-    held = 0
+def _class_batch(rows: list[tuple]) -> pa.RecordBatch:
+    rows = [(_digest(text).hex(), ident, n) for text, ident, n in rows]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _CLASSES, strict=True)], schema=_CLASSES)
 
-    def emit(keep: tuple | None) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for key in [k for k in tries if k != keep]:
-            rows += [(_digest(text).hex(), ident, n) for text, (ident, n) in tries.pop(key).items()]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _CLASSES, strict=True)], schema=_CLASSES)
 
+def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One trie for all texts of a partition, which come in order of their bytes."""
+    trie = PatriciaTrie()
     for batch in batches:
-        length, digest, texts, idents, counts = (batch.column(i).to_pylist() for i in range(5))
-        for key, text, ident, n in zip(zip(length, digest, strict=True), texts, idents, counts, strict=True):
-            if (trie := tries.get(key)) is None:
-                if held > BUDGET:
-                    yield from emit(None)
-                    held = 0
-                trie = tries[key] = PatriciaTrie()
-            before = trie.held
+        for text, ident, n in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             trie.insert(text, ident, n)
-            held += trie.held - before
-    yield from emit(None)
+            if trie.held > BUDGET:
+                yield from _in_batches(trie.finished(text), _class_batch)
+    yield from _in_batches(trie.items(), _class_batch)
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +194,7 @@ def text_classes(docs: DataFrame, ident: str = "doc_id", text: str = "text") ->
     spark = docs.sparkSession
     source = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     texts = source.mapInArrow(_collapse, "len long, hash binary, text binary, ident long, n long")
-    owned = texts.repartition(partitions(spark), "len", "hash").sortWithinPartitions("len", "hash")
+    owned = texts.repartition(partitions(spark), "len", "hash").select("text", "ident", "n").sortWithinPartitions("text")
     return owned.mapInArrow(_own, "text_sha256 string, keep_id long, group_size long")
 
 
@@ -178,10 +214,12 @@ def exact_dedup(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> D
 
 
 def drop_duplicates(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs whose text no row with a larger id repeats, all columns kept; of rows that repeat an id and a text, one stays.
+    """One row of docs for each text, all columns kept: that of the largest id; a row without an id where no copy has one.
 
-    A row without an id can't be told from its copies and goes.
+    Of rows that repeat an id and a text, the one whose columns have the least hash stays; an id that repeats with other
+    texts is no matter. Null counts as the empty text. An empty table gives an empty result.
     """
-    kept = text_classes(docs, ident, text).filter(F.col("keep_id").isNotNull())
-    kept = kept.select(F.col("keep_id").cast(docs.schema[ident].dataType).alias(ident))
-    return docs.join(kept, ident, "left_semi").dropDuplicates([ident]).select(docs.columns)
+    key = fresh("_key", docs.columns)
+    kept = text_classes(docs, ident, text).select(F.concat_ws(":", "text_sha256", F.col("keep_id").cast("string")).alias(key))
+    keyed = with_text_key(docs, key, lambda t: hashlib.sha256(t.translate(LOWER_AZ)).hexdigest(), ident, text)
+    return one_row_each(keyed, key).join(kept, key, "left_semi").select(docs.columns)
