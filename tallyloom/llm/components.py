@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions
+from .common import materialize, partitions, skewed_lookup
 
-LOCAL_LINKS = 1 << 20  #: links that a task contracts at once
+LOCAL_LINKS = 1 << 20  #: links that a task contracts at once, 16 bytes each
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,24 +58,28 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node and root, the least node of its component, for every node of links but those linked to themselves only.
 
-    A written table. Works on written tables of links throughout, so nothing is gathered anywhere; each round contracts the
-    links of a task first, which takes dense groups down to stars.
+    A written table. Works on written tables of links throughout, so nothing is gathered anywhere; tasks contract their
+    links first, which takes dense groups down to stars. Rounds end when nothing changes, or when LOCAL_LINKS links are
+    left at most, which one task finishes.
     """
     n = partitions(links.sparkSession)
     links = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).filter("u <> v")
-    links = links.repartition(n, F.least("u", "v")).mapInArrow(_contract, "u long, v long")
+    links = links.repartition(n, F.least("u", "v"), F.pmod(F.xxhash64(F.greatest("u", "v")), F.lit(64))).mapInArrow(_contract, "u long, v long")
     links = materialize(links.distinct(), "links")
     state = None
     while True:
+        new = links.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
+        if new[0] <= LOCAL_LINKS:
+            links = materialize(links.repartition(1).mapInArrow(_contract, "u long, v long"), "components")
+        if new == state or new[0] <= LOCAL_LINKS:
+            return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        state = new
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        # The centre of a star has as many links as its component has nodes: what each node meets is looked up.
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("deg")), "large-least")
+        large = skewed_lookup(both.filter("v > u"), least, "u", "deg", F.col("v")).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         large = materialize(large, "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select("u", "v", "m")
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("deg")), "small-least")
+        small = skewed_lookup(large, least, "u", "deg", F.col("v")).select("u", "v", "m")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").union(small.select("u", F.col("m").alias("v"))).distinct()
         links = materialize(small, "small-star")
-        new = links.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
-        if new == state:
-            return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        state = new

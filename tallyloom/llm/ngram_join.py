@@ -4,13 +4,15 @@ The global n-gram order puts rare n-grams first: a count sketch of fixed size ov
 level, and the order is (level, hash). An n-gram is then one 64-bit key whose value is its place in the order.
 
 * Two sets that reach the similarity share an n-gram among the first n - ceil(0.75 n) + 1 of each. The order is cut into
-  fragments; each fragment gets the part of those prefixes that falls into it and lists the sets of every n-gram there.
+  fragments, those of very frequent n-grams once more by set; each fragment gets the part of those prefixes that falls
+  into it and lists the sets of every n-gram there.
 * Short lists are paired in full; in longer ones the most central set, that with the largest share of its prefix in long
   lists, is paired with the others. These pairs are verified: full sets are cut into fragments of the order too, each
   counts its partial overlap of a pair, and the counts are summed per pair.
   Before that, the sizes of a pair's parts in many fragments bound its partial overlaps: the sum of the smaller ones.
 * What is linked so far forms components. The pairs of longer lists that lie in different components are verified as
-  well, and so no link between components is lost, while dense groups never have all of their pairs made.
+  well, and so no link between components is lost, while dense groups never have all of their pairs made. A list of many
+  sets is cut by their sizes and hashes, and its parts meet in cells of bounded size.
 
 Copies with equal sets are one class from the start, so a text with any number of copies costs no pairs.
 """
@@ -24,10 +26,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, in_chunks, materialize, partitions, skewed_lookup, text_bytes
+from .common import LOWER_AZ, fresh, in_chunks, materialize, one_row_each, partitions, skewed_lookup, text_bytes, with_text_key
 from .components import connected_components
 
 WORDS = 5  #: words of an n-gram
@@ -43,6 +45,11 @@ MEMO = 150_000
 CHUNK = 2 << 20  #: bytes of text whose n-grams are made at once
 FINE, COARSE, LARGE = 1024, 256, 1024  #: fragments whose sizes bound overlaps, for sets over LARGE and for others
 FLUSH = 1 << 18  #: entries that a task holds before it emits them
+LIST = 1 << 16  #: documents of an n-gram from which the fragment of its list is cut by set
+CELL = 4096  #: sets of a list that meet in a cell, from either side
+STRIP = 128  #: sets that are compared with all others of a cell at once
+SIGN_BITS = 1024  #: bits of a set's parities, which bound overlaps in cells
+CLASHES = 10_000  #: sets whose 64-bit numbers meet, at most; beyond it the join refuses
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
 
 
@@ -92,10 +99,21 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-def _signature(h: np.ndarray) -> tuple[str, int]:
-    """128 bits of a set in hex, and the first 64 as a signed number."""
-    s = xxhash.xxh3_128_hexdigest(h.tobytes())
-    return s, int(np.uint64(int(s[:16], 16)).astype(np.int64))
+def _signature(h: np.ndarray) -> str:
+    """128 bits of a set in hex."""
+    return xxhash.xxh3_128_hexdigest(h.tobytes())
+
+
+def _number(signature: str, renamed: dict[str, int]) -> int:
+    """The first 64 bits as a signed number, or the one given to a set whose number another one has."""
+    got = renamed.get(signature)
+    return int(np.uint64(int(signature[:16], 16)).astype(np.int64)) if got is None else got
+
+
+def _parities(h: np.ndarray) -> bytes:
+    """Whether the n-grams in each of SIGN_BITS ranges of the hash are odd in number. Sets differ by as many n-grams as bits, at least."""
+    bits = SIGN_BITS.bit_length() - 1
+    return np.packbits(np.bincount((h >> np.uint64(64 - bits)).astype(np.int64), minlength=SIGN_BITS) & 1).tobytes()
 
 
 def _sizes(h: np.ndarray) -> bytes | None:
@@ -108,7 +126,7 @@ def _sizes(h: np.ndarray) -> bytes | None:
 
 
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs whose parts are large enough for the overlap they need. Columns a, b, n_a, n_b, sizes of a, sizes of b."""
+    """The pairs whose parts are large enough for the overlap they need. Columns a, b, n_a, n_b, sizes of a, sizes of b, chunk."""
     for batch in batches:
         n_a, n_b = batch.column(2).to_numpy().astype(np.int64), batch.column(3).to_numpy().astype(np.int64)
         most = np.minimum(n_a, n_b)
@@ -120,7 +138,7 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(x) != len(y):
                 x, y = x.reshape(COARSE, -1).sum(1), y.reshape(COARSE, -1).sum(1)
             most[i] = np.minimum(x, y).sum()
-        yield batch.filter(pa.array(most >= needed(n_a, n_b))).select(["a", "b", "n_a", "n_b"])
+        yield batch.filter(pa.array(most >= needed(n_a, n_b))).select(["a", "b", "n_a", "n_b", "chunk"])
 
 
 def needed(n_a, n_b):
@@ -132,32 +150,39 @@ def prefix_length(n: int) -> int:
     return n - -(-NUM * n // DEN) + 1
 
 
-_SURVEY = "kind int, doc_id long, n long, sig string, cls long, sizes binary, block int, part long, cells binary"
+_SURVEY = "kind int, doc_id long, n long, sig string, body string, sizes binary, bits binary, block int, part long, cells binary"
+_ARROW = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each document, and at the end the task's sketch in blocks."""
     cells = np.zeros(1 << CELL_BITS, np.uint32)
     part = TaskContext.get().partitionId()
+    types = {name: _ARROW[kind] for name, kind in (f.split() for f in _SURVEY.split(", "))}
 
-    def batch(kind, columns: dict) -> pa.RecordBatch:
+    def batch(kind: int, columns: dict) -> pa.RecordBatch:
         n = len(next(iter(columns.values())))
-        types = {"kind": pa.int32(), "doc_id": pa.int64(), "n": pa.int64(), "sig": pa.string(), "cls": pa.int64(), "sizes": pa.binary(), "block": pa.int32(), "part": pa.int64(), "cells": pa.binary()}
         columns = {"kind": [kind] * n} | columns
         return pa.RecordBatch.from_arrays([pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, t in types.items()], names=list(types))
 
     seen = False
     for chunk in in_chunks(batches, "text", CHUNK):
         seen = True
-        sets = shingle_sets(text_bytes(chunk.column(1)))
+        texts = text_bytes(chunk.column(1))
+        sets = shingle_sets(texts)
         every = np.concatenate(sets)
         np.add.at(cells, (every >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
-        signs = [_signature(h) if len(h) else (None, None) for h in sets]
-        yield batch(0, {"doc_id": chunk.column(0), "n": [len(h) for h in sets], "sig": [s for s, _ in signs], "cls": [c for _, c in signs], "sizes": [_sizes(h) for h in sets]})
+        each = [(len(h), _signature(h), _body(t), _sizes(h), _parities(h)) if len(h) else (0, None, None, None, None) for h, t in zip(sets, texts, strict=True)]
+        yield batch(0, {"doc_id": chunk.column(0)} | dict(zip(("n", "sig", "body", "sizes", "bits"), zip(*each, strict=True), strict=True)))
     if seen:
         yield batch(1, {"block": list(range(BLOCKS)), "part": [part] * BLOCKS, "cells": [zlib.compress(c.tobytes(), 1) for c in np.split(cells, BLOCKS)]})
 
 
+def _body(text: bytes) -> str | None:
+    """128 bits of a text in hex; None without words."""
+    return xxhash.xxh3_128_hexdigest(text) if text.strip() else None
+
+
 def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
@@ -168,8 +193,8 @@ def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(sums.keys(), pa.int32()), pa.array([zlib.compress(c.astype(np.uint32).tobytes(), 1) for c in sums.values()], pa.binary())], names=["block", "cells"])
 
 
-def _levels(survey: DataFrame) -> np.ndarray:
-    """The sketch's levels: how many eighths of a power of two each cell is above the mean. One byte a cell, fixed size."""
+def _levels(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The sketch's levels: how many quarters of a power of two each cell is above the mean, one byte a cell, fixed size; parts of a fragment by level."""
     n = partitions(survey.sparkSession)
     rows = survey.filter("kind = 1").select("block", "part", "cells")
     some = rows.repartition(n, "block", F.pmod("part", F.lit(64))).select("block", "cells").mapInArrow(_add_blocks, "block int, cells binary")
@@ -178,8 +203,11 @@ def _levels(survey: DataFrame) -> np.ndarray:
     for r in sums.toLocalIterator():
         cells[r["block"]] = np.frombuffer(zlib.decompress(bytes(r["cells"])), np.uint32)
     flat = cells.ravel().astype(float)
-    above = np.log2(np.maximum(flat, 1) / max(1.0, 1.5 * flat.mean())) * 4
-    return np.clip(np.ceil(above), 0, (1 << LEVEL_BITS) - 1).astype(np.uint8)
+    unit = max(1.0, 1.5 * flat.mean())
+    levels = np.clip(np.ceil(np.log2(np.maximum(flat, 1) / unit) * 4), 0, (1 << LEVEL_BITS) - 1).astype(np.uint8)
+    # Level 0 and the last hold what is below or above as well.
+    most = [0 if level == 0 else flat.max(initial=0) if level == (1 << LEVEL_BITS) - 1 else unit * 2 ** (level / 4) for level in range(1 << LEVEL_BITS)]
+    return levels, np.clip(np.ceil(np.array(most) / LIST), 1, 1 << 20).astype(np.int64)
 
 
 def _keys(h: np.ndarray, levels: np.ndarray) -> np.ndarray:
@@ -192,10 +220,10 @@ ENTRY = np.dtype([("key", "<u8"), ("cls", "<i8"), ("n", "<i4"), ("pos", "<i4")])
 
 
 def _prefixes(shared, fragments: int):
-    """Map tasks: the prefixes of each distinct set, cut at the pivots of the order."""
+    """Map tasks: the prefixes of each distinct set, cut at the pivots of the order, and frequent n-grams' by set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = shared.value
+        levels, parts, renamed = shared.value
         held: list[np.ndarray] = []
         n, seen = 0, set()
 
@@ -205,17 +233,19 @@ def _prefixes(shared, fragments: int):
             inside = (every["key"] << np.uint64(LEVEL_BITS)) >> np.uint64(40)
             level = (every["key"] >> np.uint64(64 - LEVEL_BITS)).astype(np.int64)
             fragment = level * fragments + ((inside.astype(np.int64) * fragments) >> 24)
-            order = np.argsort(fragment, kind="stable")
-            every, fragment = every[order], fragment[order]
-            starts = np.flatnonzero(np.concatenate([[True], fragment[1:] != fragment[:-1]]))
+            part = (every["cls"].astype(np.uint64) >> np.uint64(11)) % parts[level].astype(np.uint64)
+            order = np.lexsort((part, fragment))
+            every, fragment, part = every[order], fragment[order], part[order].astype(np.int64)
+            starts = np.flatnonzero(np.concatenate([[True], (fragment[1:] != fragment[:-1]) | (part[1:] != part[:-1])]))
             ends = np.append(starts[1:], len(every))
-            return pa.RecordBatch.from_arrays([pa.array(fragment[starts], pa.int64()), pa.array([every[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())], names=["fragment", "entries"])
+            cut = parts[level[order][starts]] > 1
+            return pa.RecordBatch.from_arrays([pa.array(fragment[starts], pa.int64()), pa.array(part[starts], pa.int64()), pa.array(cut), pa.array([every[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())], names=["fragment", "part", "cut", "entries"])
 
         for chunk in in_chunks(batches, "text", CHUNK):
             for h in shingle_sets(text_bytes(chunk.column(0))):
                 if not len(h):
                     continue
-                cls = _signature(h)[1]
+                cls = _number(_signature(h), renamed)
                 if cls in seen:
                     continue
                 if len(seen) > MEMO:
@@ -242,159 +272,142 @@ def _passes(n_a, p_a, n_b, p_b):
     return (rest >= need) & (np.minimum(n_a, n_b) * DEN >= np.maximum(n_a, n_b) * NUM)
 
 
-_PAIRED = "kind int, a long, b long, n_a int, n_b int, lists binary"
+def passing(n_a: Column, p_a: Column, n_b: Column, p_b: Column) -> Column:
+    """The same as an expression."""
+    need = F.floor((NUM * (n_a + n_b).cast("long") + (NUM + DEN - 1)) / F.lit(NUM + DEN))
+    return (F.least(n_a - p_a, n_b - p_b) >= need) & (F.least(n_a, n_b) * DEN >= F.greatest(n_a, n_b) * NUM)
 
 
-def _pair_batch(kind: int, a=(), b=(), n_a=(), n_b=(), lists=()) -> pa.RecordBatch:
-    n = max(len(a), len(lists))
-    types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    values = [np.full(n, kind, np.int32), a, b, n_a, n_b, lists]
-    return pa.RecordBatch.from_arrays([pa.array(v, t) if len(v) else pa.nulls(n, t) for v, t in zip(values, types, strict=True)], names=["kind", "a", "b", "n_a", "n_b", "lists"])
+_PAIRED = "kind int, a long, b long, n_a int, n_b int, key long, pos int"
 
 
-def _distinct_pairs(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray):
+def _pair_batch(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> pa.RecordBatch:
+    """Pairs, each once."""
     order = np.lexsort((b, a))
     a, b, n_a, n_b = a[order], b[order], n_a[order], n_b[order]
     new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-    return a[new], b[new], n_a[new], n_b[new]
-
-
-class _Pairs:
-    """Pairs of a task, each once as far as they are held together."""
+    n = int(new.sum())
+    return pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), pa.array(a[new], pa.int64()), pa.array(b[new], pa.int64()), pa.array(n_a[new].astype(np.int32)), pa.array(n_b[new].astype(np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], names=[f.split()[0] for f in _PAIRED.split(", ")])
 
-    def __init__(self) -> None:
-        self.held: list[tuple] = []
-        self.n = 0
 
-    def add(self, a, b, n_a, n_b) -> None:
-        self.held.append((a, b, n_a, n_b))
-        self.n += len(a)
-        if self.n > FLUSH:  # many lists repeat the same pairs
-            self.held = [_distinct_pairs(*map(np.concatenate, zip(*self.held, strict=True)))]
-            self.n = len(self.held[0][0])
-
-    def emit(self, least: int = 1) -> Iterator[pa.RecordBatch]:
-        if self.n >= least:
-            yield _pair_batch(0, *_distinct_pairs(*map(np.concatenate, zip(*self.held, strict=True))))
-            self.held, self.n = [], 0
+def _list_batches(e: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The sets of long lists, a row each: a is the set, n_a its size."""
+    for i in range(0, len(e), FLUSH):
+        x = e[i : i + FLUSH]
+        n = len(x)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), pa.array(x["cls"]), pa.nulls(n, pa.int64()), pa.array(x["n"]), pa.nulls(n, pa.int32()), pa.array(x["key"].astype(np.int64)), pa.array(x["pos"])], names=[f.split()[0] for f in _PAIRED.split(", ")])
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fragments: the pairs of short lists (kind 0) and the entries of longer lists (kind 1). Rows come sorted by fragment."""
+    """Fragments: the pairs of short lists (kind 0) and the entries of longer lists (kind 1). Rows come sorted by fragment and part.
+
+    Where a fragment is cut by set, a list may go on in another part, so all of its entries are given as of a longer one.
+    """
     at, held = None, []
 
-    def finish() -> Iterator[pa.RecordBatch]:
+    def finish(cut: bool) -> Iterator[pa.RecordBatch]:
         e = np.concatenate(held)
         e = e[np.lexsort((e["cls"], e["key"]))]
         new = np.concatenate([[True], (e["key"][1:] != e["key"][:-1]) | (e["cls"][1:] != e["cls"][:-1])])
         e = e[new]  # copies that met from several tasks
+        if cut:
+            yield from _list_batches(e)
+            return
         starts = np.flatnonzero(np.concatenate([[True], e["key"][1:] != e["key"][:-1]]))
         sizes = np.diff(np.append(starts, len(e)))
-        found = []
         many = sizes > 1
         if not many.any():
             return
-        rows = np.repeat(many, sizes)
-        e = e[rows]
+        e = e[np.repeat(many, sizes)]
         sizes = sizes[many]
         starts = np.cumsum(sizes) - sizes
         first = np.repeat(starts, sizes)
         place = np.arange(len(e)) - first
+        found = []
         for step in range(SHORT - 1):
-            left = first + step
-            ok = (place > step) & (np.repeat(sizes, sizes) <= SHORT)
-            right = np.flatnonzero(ok)
-            left = left[right]
+            right = np.flatnonzero((place > step) & (np.repeat(sizes, sizes) <= SHORT))
+            left = first[right] + step
             if len(right):
-                good = _passes(e["n"][left].astype(np.int64), e["pos"][left].astype(np.int64), e["n"][right].astype(np.int64), e["pos"][right].astype(np.int64))
+                good = _passes(*(e[c][x].astype(np.int64) for x in (left, right) for c in ("n", "pos")))
                 left, right = left[good], right[good]
                 found.append((e["cls"][left], e["cls"][right], e["n"][left], e["n"][right]))
-        if found and sum(len(f[0]) for f in found):
-            yield _pair_batch(0, *_distinct_pairs(*map(np.concatenate, zip(*found, strict=True))))
-        long = e[np.repeat(sizes > SHORT, sizes)]
-        if len(long):
-            yield _pair_batch(1, lists=[long.tobytes()])
+        if sum(len(f[0]) for f in found):
+            yield _pair_batch(*map(np.concatenate, zip(*found, strict=True)))
+        yield from _list_batches(e[np.repeat(sizes > SHORT, sizes)])
 
     for batch in batches:
-        for fragment, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            if fragment != at and held:
-                yield from finish()
+        for *mine, cut, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+            if held and mine + [cut] != at:
+                yield from finish(at[-1])
                 held = []
-            at = fragment
+            at = mine + [cut]
             held.append(np.frombuffer(data.as_py(), ENTRY))
     if held:
-        yield from finish()
-
-
-def _flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for data in batch.column(0):
-            e = np.frombuffer(data.as_py(), ENTRY)
-            yield pa.RecordBatch.from_arrays([pa.array(e["key"].astype(np.int64)), pa.array(e["cls"]), pa.array(e["n"]), pa.array(e["pos"])], names=["key", "cls", "n", "pos"])
-
-
-def _of_lists(make):
-    """A task over lists: rows of key, cls, n, pos, score and maybe root, sorted by key; `make` pairs the sets of one."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        out = _Pairs()
-
-        def finish() -> Iterator[pa.RecordBatch]:
-            for found in make(*(np.concatenate(c) for c in zip(*held, strict=True))):
-                out.add(*found)
-            yield from out.emit(FLUSH // 2)
-
-        at = None
-        for batch in batches:
-            key = batch.column(0).to_numpy()
-            cols = [batch.column(i).to_numpy() for i in range(1, batch.num_columns)]
-            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else []
-            for a, b in zip(starts, [*starts[1:], len(key)], strict=True):
-                if key[a] != at and held:
-                    yield from finish()
-                    held = []
-                at = key[a]
-                held.append([c[a:b] for c in cols])
-        if held:
-            yield from finish()
-        yield from out.emit()
-
-    return run
-
-
-def _lead(cls: np.ndarray, score: np.ndarray) -> int:
-    return int(np.lexsort((cls, -score))[0])
-
+        yield from finish(at[-1])
 
-def _star(cls, n, pos, score) -> Iterator[tuple]:
-    """The most central set with all others of its list."""
-    k = _lead(cls, score)
-    n, pos = n.astype(np.int64), pos.astype(np.int64)
-    j = np.flatnonzero(np.arange(len(cls)) != k)
-    j = j[_passes(n[k], pos[k], n[j], pos[j])]
-    if len(j):
-        yield np.full(len(j), cls[k]), cls[j], np.full(len(j), n[k]), n[j]
 
+def cell_pairs(cls, n, pos, root, side, bits) -> Iterator[tuple]:
+    """The pairs of a cell that may reach the similarity and lie in different components: a, b, n_a, n_b, strip by strip.
 
-def _across(cls, n, pos, score, root) -> Iterator[tuple]:
-    """Pairs of different components, without those of the star, which are verified."""
-    n, pos = n.astype(np.int64), pos.astype(np.int64)
-    rest = np.flatnonzero(np.arange(len(cls)) != _lead(cls, score))
-    rest = rest[np.argsort(n[rest], kind="stable")]
-    cls, n, pos, root = cls[rest], n[rest], pos[rest], root[rest]
-    if len(rest) < 2 or (root == root[0]).all():
+    Sides 0 and 1 meet each other, side 2 meets itself. bits are parities, a row each: where two sets differ in d of them,
+    they share (n_a + n_b - d) / 2 n-grams at most; a product of matrices counts them.
+    """
+    order = np.argsort(n, kind="stable")
+    cls, n, pos, root, side, bits = (x[order] for x in (cls, n, pos, root, side, bits))
+    if len(n) < 2 or (root == root[0]).all():
         return
-    for i in range(len(cls) - 1):
-        end = np.searchsorted(n, n[i] * DEN // NUM, "right")  # sorted by size: what the length filter leaves
-        j = np.arange(i + 1, end)
-        j = j[root[j] != root[i]]
-        if len(j):
-            j = j[_passes(n[i], pos[i], n[j], pos[j])]
-        if len(j):
-            a, b, n_a, n_b = np.full(len(j), cls[i]), cls[j], np.full(len(j), n[i]), n[j]
-            swap = a > b
-            yield np.where(swap, b, a), np.where(swap, a, b), np.where(swap, n_b, n_a), np.where(swap, n_a, n_b)
+    signs = 1 - 2 * np.unpackbits(bits, axis=1).astype(np.float32)
+    for i in range(0, len(n) - 1, STRIP):
+        a = np.arange(i, min(i + STRIP, len(n) - 1))[:, None]
+        b = np.arange(i + 1, np.searchsorted(n, n[a[-1, 0]] * DEN // NUM, "right"))[None, :]  # sorted by size: what the length filter leaves
+        good = (b > a) & (root[a] != root[b]) & ((side[a] + side[b] == 1) | ((side[a] == 2) & (side[b] == 2)))
+        if not good.any():
+            continue
+        good &= _passes(n[a], pos[a], n[b], pos[b])
+        if not good.any():
+            continue
+        apart = (SIGN_BITS - signs[a[:, 0]] @ signs[b[0]].T) / 2
+        x, y = np.nonzero(good & (n[a] + n[b] - apart >= 2 * needed(n[a], n[b])))
+        x, y = a[x, 0], b[0, y]
+        if len(x):
+            swap = cls[x] > cls[y]
+            x, y = np.where(swap, y, x), np.where(swap, x, y)
+            yield cls[x], cls[y], n[x], n[y]
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of cell, cls, n, pos, root, side, bits, sorted by cell."""
+    held: list[list[np.ndarray]] = []
+    out: list[tuple] = []
+    n = 0
+
+    def finish() -> Iterator[pa.RecordBatch]:
+        nonlocal out, n
+        for found in cell_pairs(*(np.concatenate(c) for c in zip(*held, strict=True))):
+            out.append(found)
+            n += len(found[0])
+            if n > FLUSH:
+                yield _pair_batch(*map(np.concatenate, zip(*out, strict=True)))
+                out, n = [], 0
+
+    at = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cell = batch.column(0).to_numpy()
+        cols = [batch.column(i).to_numpy().astype(np.int64) for i in range(1, 6)]
+        cols.append(np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(len(cell), SIGN_BITS // 8))
+        starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+        for a, b in zip(starts, [*starts[1:], len(cell)], strict=True):
+            if held and cell[a] != at:
+                yield from finish()
+                held = []
+            at = cell[a]
+            held.append([c[a:b] for c in cols])
+    if held:
+        yield from finish()
+    if n:
+        yield _pair_batch(*map(np.concatenate, zip(*out, strict=True)))
 
 
 def _bitmap(ids: DataFrame) -> np.ndarray:
@@ -411,7 +424,7 @@ def _segments(shared):
     """The sets of the documents that the filter passes, in the order's keys, cut into SEGMENTS fragments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels, bits = shared.value
+        (levels, _, renamed), bits = shared.value
         for batch in batches:
             h = batch.column(2).to_numpy().astype(np.uint64)
             on = (bits[(h >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1)
@@ -421,7 +434,7 @@ def _segments(shared):
                     keys = _keys(s, levels)
                     where = ((keys << np.uint64(LEVEL_BITS)) >> np.uint64(48)).astype(np.int64) * SEGMENTS >> 16
                     for v in range(SEGMENTS):
-                        for column, x in zip(out, (doc_id, _signature(s)[1] if len(s) else None, v, keys[where == v].tobytes()), strict=True):
+                        for column, x in zip(out, (doc_id, _number(_signature(s), renamed) if len(s) else None, v, keys[where == v].tobytes()), strict=True):
                             column.append(x)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["doc_id", "cls", "v", "keys"])
 
@@ -453,81 +466,152 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["a", "b", "n_a", "n_b", "shared"])
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, levels: np.ndarray) -> DataFrame:
-    """The pairs that reach the similarity. pairs: a written table of a, b, n_a, n_b."""
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order: tuple) -> DataFrame:
+    """The pairs that reach the similarity. pairs: a written table of a, b, n_a, n_b; order: levels, parts, renamed sets."""
     spark = pairs.sparkSession
     of = lambda c: classes.select(F.col("cls").alias(c), F.col("sizes").alias(f"s_{c}"))
-    pairs = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "n_b", "s_a", "s_b")
-    pairs = materialize(pairs.mapInArrow(_bounded, "a long, b long, n_a int, n_b int"), "join-bounded")
-    teams = pairs.groupBy("a").agg(F.count("*").alias("deg")).select("a", F.ceil(F.col("deg") / TEAM).cast("long").alias("teams"))
-    dealt = pairs.join(teams, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("teams"))).drop("teams")
+    # The pairs of a set are dealt to teams, which have the shared set once each; a set with very many pairs has larger teams.
+    size = F.greatest(F.lit(float(TEAM)), F.sqrt("deg"))
+    teams = pairs.groupBy("a").agg(F.count("*").alias("deg")).select("a", "deg", F.ceil(F.col("deg") / size).cast("long").alias("teams"))
+    dealt = skewed_lookup(pairs, materialize(teams, "join-teams"), "a", "deg", F.col("b"))
+    dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("teams"))).drop("teams", "deg")
+    heads = dealt.select("a", "chunk").distinct().join(of("a"), "a")
+    sized = dealt.join(of("b"), "b").join(heads, ["a", "chunk"]).select("a", "b", "n_a", "n_b", "s_a", "s_b", "chunk")
+    dealt = materialize(sized.mapInArrow(_bounded, "a long, b long, n_a int, n_b int, chunk long"), "join-bounded")
     none = F.lit(None)
     heads = dealt.select("a", "chunk").distinct().select(F.col("a").alias("cls"), "a", "chunk", none.cast("long").alias("b"), none.cast("int").alias("n_a"), none.cast("int").alias("n_b"))
     asked = dealt.select(F.col("b").alias("cls"), "a", "chunk", "b", "n_a", "n_b").union(heads)
     asked = materialize(asked.join(classes.select("cls", F.col("least").alias("doc_id")), "cls"), "join-asked")
-    shared = spark.sparkContext.broadcast((levels, _bitmap(asked.select("doc_id").distinct())))
+    shared = spark.sparkContext.broadcast((order, _bitmap(asked.select("doc_id").distinct())))
     hashed = docs.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP_BITS)))
     sets = hashed.mapInArrow(_segments(shared), "doc_id long, cls long, v int, keys binary")
     # The sets are moved twice only: to those who ask, and to their teams.
-    order = ["a", "chunk", "v"]
+    team = ["a", "chunk", "v"]
     asked = asked.withColumnsRenamed({"cls": "_cls", "doc_id": "_id"})
     met = sets.join(asked, (F.col("cls") == F.col("_cls")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    counted = met.select(*order, "b", "n_a", "n_b", "keys")
-    counted = counted.repartition(partitions(spark), *order).sortWithinPartitions(*order, F.asc_nulls_first("b"))
+    counted = met.select(*team, "b", "n_a", "n_b", "keys")
+    counted = counted.repartition(partitions(spark), *team).sortWithinPartitions(*team, F.asc_nulls_first("b"))
     parts = counted.mapInArrow(_overlaps, "a long, b long, n_a long, n_b long, shared long")
     sums = parts.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
     return sums.filter(F.col("shared") * DEN >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * NUM).select("a", "b")
 
 
-def ngram_join(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id.
+def _numbered(classes: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """Written classes with cls, a number each; and the numbers of the sets whose first 64 bits another set has."""
+    classes = classes.withColumn("cls", F.conv(F.substring("sig", 1, 16), 16, -10).cast("long"))
+    classes = materialize(classes, "join-classes")
+    twice = classes.groupBy("cls").agg(F.count("*").alias("n"), F.min("sig").alias("stays")).filter("n > 1")
+    found = classes.select("sig", "cls").join(twice.select("cls", "stays"), "cls").filter("sig <> stays").select("sig").limit(CLASHES + 1).collect()
+    if len(found) > CLASHES:
+        raise RuntimeError(f"more than {CLASHES} sets share their first 64 bits with another")
+    renamed = {r["sig"]: int(np.uint64(xxhash.xxh3_64_intdigest(r["sig"].encode(), seed=1)).astype(np.int64)) for r in found}
+    if renamed:
+        pairs = [x for k, v in renamed.items() for x in (F.lit(k), F.lit(v))]
+        classes = materialize(classes.withColumn("cls", F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("sig")), F.col("cls"))), "join-classes")
+    return classes, renamed
 
-    Words are what stands between ASCII white space after lower-casing A-Z; a set is that of distinct 5-word n-grams, or
-    the whole sequence as one where there are fewer words. Documents whose sets have a Jaccard similarity of 0.75 or more
-    are linked; component_id is the smallest doc_id that links reach. A text without words, or null, has no n-grams and
-    links with nothing. Sets are compared by 58-bit hashes in their order, and equal ones found by 128 bits. Null doc_ids
-    link but give no component_id of their own. Other columns are ignored, whatever their names; an empty table gives an
-    empty result.
+
+def _cells_of(led: DataFrame, classes: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows of lists whose sets lie in different components, dealt to cells: cell, cls, n, pos, root, side, bits.
+
+    A list of up to CELL sets is a cell. A longer one is cut by size, so that only neighbours can be similar, and by hash.
     """
+    rest = led.filter("cls <> lead").select("key", "cls", "n", "pos")  # the lead's pairs are verified
+    rooted = rest.join(known, F.col("cls") == F.col("node"), "left").select("key", "cls", "n", "pos", F.coalesce("root", "cls").alias("root"))
+    rooted = materialize(rooted.withColumn("band", F.floor(F.log("n") / F.lit(float(np.log(1.34)))).cast("int")), "join-rooted")
+    bands = rooted.groupBy("key", "band").agg(F.count("*").alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1"))
+    one, along = Window.partitionBy("key"), Window.partitionBy("key").orderBy("band")
+    bands = bands.withColumns({"all": F.sum("m").over(one), "mixed": F.min("r0").over(one) != F.max("r1").over(one)})  # few bands a list
+    parts = lambda m: F.ceil(m / F.lit(CELL)).cast("long")
+    beside = lambda f, by: F.when(f("band").over(along) == F.col("band") + by, parts(f("m").over(along))).otherwise(0)
+    bands = bands.withColumns({"own": parts(F.col("m")), "up": beside(F.lead, 1), "down": beside(F.lag, -1)}).filter("mixed")
+    band_key = F.concat_ws(":", "key", "band")
+    bands = materialize(bands.select(band_key.alias("of"), "m", "all", "own", "up", "down"), "join-bands")
+    met = skewed_lookup(rooted.withColumn("of", band_key), bands, "of", "m", F.col("cls")).filter("m IS NOT NULL")
+    g = F.pmod(F.xxhash64("cls"), F.col("own"))
+
+    def cell(kind: int, band: Column, first: Column, second: Column, side: Column) -> Column:
+        return F.struct(F.xxhash64("key", F.lit(kind), band, first, second).alias("cell"), side.cast("int").alias("side"))
+
+    def over(n: str, make) -> Column:
+        return F.transform(F.filter(F.sequence(F.lit(0).cast("long"), F.greatest(F.col(n) - 1, F.lit(0))), lambda i: i < F.col(n)), make)
+
+    band = F.col("band")
+    within = over("own", lambda i: cell(1, band, F.least(g, i), F.greatest(g, i), F.when(g == i, 2).otherwise((g > i).cast("int"))))
+    above = over("up", lambda i: cell(2, band, g, i, F.lit(0)))
+    below = over("down", lambda i: cell(2, band - 1, i, g, F.lit(1)))
+    whole = F.array(cell(0, F.lit(0), F.lit(0), F.lit(0), F.lit(2)))
+    dealt = met.select("cls", "n", "pos", "root", F.explode(F.when(F.col("all") <= CELL, whole).otherwise(F.concat(within, above, below))).alias("c"))
+    signed = dealt.join(classes.select("cls", "bits"), "cls").select("c.cell", "cls", "n", "pos", "root", "c.side", "bits")
+    return signed.repartition(partitions(led.sparkSession), "cell").sortWithinPartitions("cell")
+
+
+def _joined(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """For docs of doc_id and text, written tables: rows (doc_id, n_shingles, sig), sets (sig, n_docs, component_id) and the key of a text of each component."""
     spark = docs.sparkSession
     n = partitions(spark)
-    docs = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     survey = materialize(docs.mapInArrow(_survey, _SURVEY), "join-survey")
-    rows = survey.filter("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "sig", "cls")
-    classes = survey.filter("kind = 0 AND sig IS NOT NULL").groupBy("sig", "cls").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_docs"), F.first("sizes").alias("sizes"))
-    classes = materialize(classes, "join-classes")
-    levels = _levels(survey)
-    shared = spark.sparkContext.broadcast(levels)
-    entries = docs.select("text").mapInArrow(_prefixes(shared, 4 * n), "fragment long, entries binary")
-    listed = entries.repartition(n, "fragment").sortWithinPartitions("fragment").mapInArrow(_lists, _PAIRED)
+    rows = survey.filter("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "sig")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "body")).alias("first")
+    classes = survey.filter("kind = 0 AND sig IS NOT NULL").groupBy("sig").agg(first, F.count("*").alias("n_docs"), F.first("sizes").alias("sizes"), F.first("bits").alias("bits"))
+    classes, renamed = _numbered(classes.select("sig", "first", F.col("first.doc_id").alias("least"), "n_docs", "sizes", "bits"))
+    order = (*_levels(survey), renamed)
+    shared = spark.sparkContext.broadcast(order)
+    entries = docs.select("text").mapInArrow(_prefixes(shared, 4 * n), "fragment long, part long, cut boolean, entries binary")
+    listed = entries.repartition(n, "fragment", "part").sortWithinPartitions("fragment", "part").mapInArrow(_lists, _PAIRED)
     listed = materialize(listed, "join-lists")
 
     distinct = lambda df: df.filter("kind = 0").select("a", "b", "n_a", "n_b").distinct()
-    long = materialize(listed.filter("kind = 1").select("lists").repartition(n).mapInArrow(_flatten, "key long, cls long, n int, pos int"), "join-long")
+    long = listed.filter("kind = 1").select("key", F.col("a").alias("cls"), F.col("n_a").alias("n"), "pos")
     share = F.count("*") / (F.first("n") - F.ceil(F.first("n") * NUM / DEN) + 1)
-    long = long.join(long.groupBy("cls").agg(share.alias("score")), "cls").select("key", "cls", "n", "pos", "score")
-    stars = long.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_of_lists(_star), _PAIRED)
-    pairs = materialize(distinct(listed).union(distinct(stars)).distinct(), "join-pairs")
-    links = materialize(_verified(pairs, docs, classes, levels), "join-links")
+    scored = materialize(long.join(long.groupBy("cls").agg(share.alias("score")), "cls").select("key", "cls", "n", "pos", "score"), "join-scored")
+    central = F.min(F.struct((-F.col("score")).alias("s"), "cls", "n", "pos")).alias("x")
+    leads = scored.groupBy("key").agg(F.count("*").alias("m"), central).filter("m > 1")
+    leads = materialize(leads.select("key", "m", F.col("x.cls").alias("lead"), F.col("x.n").alias("lead_n"), F.col("x.pos").alias("lead_pos")), "join-leads")
+    led = materialize(skewed_lookup(scored.drop("score"), leads, "key", "m", F.col("cls")).filter("lead IS NOT NULL"), "join-led")
+    close = passing(F.col("n"), F.col("pos"), F.col("lead_n"), F.col("lead_pos"))
+    stars = led.filter((F.col("cls") != F.col("lead")) & close).select(F.col("lead").alias("a"), F.col("cls").alias("b"), F.col("lead_n").alias("n_a"), F.col("n").alias("n_b"))
+    pairs = materialize(distinct(listed).union(stars.distinct()).distinct(), "join-pairs")
+    links = materialize(_verified(pairs, docs, classes, order), "join-links")
     known = connected_components(links)
-    rooted = long.join(known, F.col("cls") == F.col("node"), "left").select("key", "cls", "n", "pos", "score", F.coalesce("root", "cls").alias("root"))
-    rest = rooted.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_of_lists(_across), _PAIRED)
-    rest = materialize(distinct(rest), "join-rest")
+    rest = materialize(distinct(_cells_of(led, classes, known).mapInArrow(_cells, _PAIRED)), "join-rest")
     if not rest.isEmpty():
-        known = connected_components(links.union(_verified(rest, docs, classes, levels)))
+        known = connected_components(links.union(_verified(rest, docs, classes, order)))
+
+    places = classes.join(known, F.col("cls") == F.col("node"), "left").select("sig", "n_docs", "first", F.coalesce("root", "cls").alias("place"))
+    firsts = materialize(places.groupBy("place").agg(F.min("first").alias("rep"), F.count("*").alias("sets")), "join-firsts")
+    found = materialize(skewed_lookup(places, firsts, "place", "sets", F.col("sig")).select("sig", "n_docs", F.col("rep.doc_id").alias("component_id")), "join-components")
+    return rows, found, firsts.select(F.concat_ws(":", "rep.body", F.col("rep.doc_id").cast("string")).alias("key"))
+
+
+def _plain(docs: DataFrame, ident: str, text: str) -> DataFrame:
+    return docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+
+
+def ngram_join(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of docs: doc_id, n_shingles, component_id.
 
-    places = classes.join(known, F.col("cls") == F.col("node"), "left").select("sig", "n_docs", "least", F.coalesce("root", "cls").alias("place"))
-    firsts = places.groupBy("place").agg(F.min("least").alias("component_id"))
-    found = materialize(places.join(firsts, "place").select("sig", "n_docs", "component_id"), "join-components")
+    Words are what stands between ASCII white space after lower-casing A-Z; a set is that of distinct 5-word n-grams, or
+    the whole sequence as one where there are fewer words. Documents whose sets have a Jaccard similarity of 0.75 or more
+    are linked; component_id is the smallest doc_id that links reach. A text without words, or null, has no n-grams and
+    links with nothing. Sets are compared by 58-bit hashes in their order, and equal ones found by 128 bits. Null doc_ids
+    link but give no component_id of their own; rows that repeat a doc_id with other texts link each by its own text.
+    Other columns are ignored, whatever their names; an empty table gives an empty result.
+    """
+    rows, found, _ = _joined(_plain(docs, ident, text))
     out = skewed_lookup(rows, found, "sig", "n_docs", F.col("doc_id"))
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs whose doc_id is its component's smallest, all columns kept; rows that repeat a doc_id are one.
+    """One row of docs for each component, all columns kept: that of the smallest doc_id, or one without where all are null.
 
-    A row without an id can't stand for its component and goes.
+    Where the smallest doc_id has several texts in the component, that of the least text hash stays; of rows that repeat
+    an id and a text, the one whose columns have the least hash. Rows without words all stay. An empty table gives an
+    empty result.
     """
-    joined = ngram_join(docs, ident, text)
-    kept = joined.filter("doc_id = component_id").select(F.col("doc_id").cast(docs.schema[ident].dataType).alias(ident))
-    return docs.join(kept, ident, "left_semi").dropDuplicates([ident]).select(docs.columns)
+    _, _, reps = _joined(_plain(docs, ident, text))
+    key = fresh("_key", docs.columns)
+    keyed = one_row_each(with_text_key(docs, key, _body, ident, text), key)
+    kept = reps.select(F.col("key").alias(key), F.lit(True).alias(f"{key}_kept"))
+    return keyed.join(kept, key, "left").filter(F.col(f"{key}_kept") | F.col(key).startswith("~")).select(docs.columns)
