@@ -1,32 +1,34 @@
 """Benchmark decontamination by greedy string tiling.
 
 A Bloom filter of fixed size holds the seeds, all runs of MATCH words of the benchmark and the whole of shorter items;
-documents without a hit are done with. The others' seeds are joined with those of the items, which gives the pairs worth tiling. A pair is tiled on whole
-texts: Karp-Rabin hashes of running windows give all common runs, and the longest that meets no tile is marked again and
-again. An item leaks when tiles cover COVERAGE of its words, in whatever order they stand in the document; one shorter than
-a tile leaks where it stands as a whole.
+documents without a hit are done with. The others' seeds are joined with those of the items, which gives the pairs worth
+tiling. A pair is tiled on whole texts: running Karp-Rabin hashes find the longest run of words that both have outside of
+all tiles, its occurrences are marked, and so on with shorter ones. An item leaks when tiles cover COVERAGE of its words,
+in whatever order they stand in the document; one shorter than a tile leaks where it stands as a whole.
 """
 
 from __future__ import annotations
 
-import heapq
 import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from .common import in_chunks, materialize, partitions, skewed_lookup, text_bytes
+from .common import fresh, in_chunks, materialize, partitions, skewed_lookup, text_bytes
 
 MATCH = 5  #: words of the shortest tile
 COVERAGE = 0.5  #: share of an item's words in tiles from which it leaks
 FILTER_BITS = 24  #: the seed filter has 2 ** FILTER_BITS bits, whatever the benchmark
 SHIFTS = (0, 20, 40)  #: a seed's bits start at these places of its hash
 MEMO = 400_000
+TEAM = 256  #: items of a document that are tiled together
 #: Letters and digits, lower-cased A-Z; all other ASCII divides words, and other characters are split before.
 _CLEAN = bytes(b | 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 #: Blocks of scripts that put no spaces between words (Thai and Lao, Burmese, Khmer, the Tai scripts, Balinese, Javanese, kana, Han, Yi).
@@ -85,46 +87,73 @@ def seeds_of(words: np.ndarray, size: int = MATCH) -> np.ndarray:
     return (out ^ (out >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def common_runs(item: np.ndarray, doc: np.ndarray) -> list[tuple[int, int, int]]:
-    """All maximal common runs of MATCH words or more: (length, place in item, place in doc)."""
-    a, b = seeds_of(item), seeds_of(doc)
-    near = np.flatnonzero(np.isin(b, a))
-    if not len(near):
-        return []
-    order = np.argsort(a, kind="stable")
-    low, high = np.searchsorted(a[order], b[near], "left"), np.searchsorted(a[order], b[near], "right")
-    d = np.repeat(near, high - low)
-    within = np.arange(len(d)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
-    p = order[np.repeat(low, high - low) + within]
-    same = np.all([item[p + k] == doc[d + k] for k in range(MATCH)], axis=0)
-    p, d = p[same], d[same]
-    if not len(p):
-        return []
-    order = np.lexsort((p, d - p))
-    p, d = p[order], d[order]
-    start = np.flatnonzero(np.concatenate([[True], (np.diff(d - p) != 0) | (np.diff(p) != 1)]))
-    sizes = np.diff(np.append(start, len(p))) + MATCH - 1
-    return list(zip(sizes.tolist(), p[start].tolist(), d[start].tolist(), strict=True))
+_BASE = 0x9E3779B97F4A7C15
+_BACK = pow(_BASE, -1, 1 << 64)
+
+
+class _Running:
+    """Karp-Rabin hashes of all windows of any length over words, of which some are taken; `at` is where the words stand."""
+
+    def __init__(self, words: np.ndarray, at: np.ndarray) -> None:
+        n = len(words)
+        self.words, self.at, self.taken = words, at, np.zeros(n, bool)
+        with np.errstate(over="ignore"):
+            one = np.ones(1, np.uint64)
+            power = np.cumprod(np.concatenate([one, np.full(n, _BASE, np.uint64)]), dtype=np.uint64)
+            self.back = np.cumprod(np.concatenate([one, np.full(n, _BACK, np.uint64)]), dtype=np.uint64)
+            self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * power[:n], dtype=np.uint64)])
+
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of the windows of neighbouring words that are free."""
+        n = len(self.words) - size + 1
+        if n <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        used = np.concatenate([[0], np.cumsum(self.taken)])
+        k = np.flatnonzero((used[size:] == used[:n]) & (self.at[size - 1 :] - self.at[:n] == size - 1))
+        return k, (self.sums[k + size] - self.sums[k]) * self.back[k]
 
 
 def tile(item: np.ndarray, doc: np.ndarray) -> list[tuple[int, int, int]]:
-    """Greedy string tiling: (length, place in item, place in doc), longest first, then by place in item and doc."""
-    heap = [(-n, p, d) for n, p, d in common_runs(item, doc)]
-    heapq.heapify(heap)
-    in_item, in_doc = np.zeros(len(item), bool), np.zeros(len(doc), bool)
-    tiles = []
-    while heap:
-        n, p, d = heapq.heappop(heap)
-        n = -n
-        taken = in_item[p : p + n] | in_doc[d : d + n]
-        if not taken.any():
-            in_item[p : p + n] = in_doc[d : d + n] = True
-            tiles.append((n, p, d))
-            continue
-        edges = np.flatnonzero(np.diff(np.concatenate([[True], taken, [True]]).astype(np.int8)))
-        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):  # what is left of the run
-            if b - a >= MATCH:
-                heapq.heappush(heap, (a - b, p + a, d + a))
+    """Greedy string tiling: (length, place in item, place in doc), longest first, then by place in item and doc.
+
+    Takes memory in proportion to both texts, however often their words repeat.
+    """
+    near = np.flatnonzero(np.isin(seeds_of(doc), seeds_of(item)))
+    if not len(near):
+        return []
+    within = np.zeros(len(doc) + 1, np.int64)  # words of the document that some seed covers: no tile has others
+    np.add.at(within, near, 1)
+    np.add.at(within, near + MATCH, -1)
+    at = np.flatnonzero(np.cumsum(within)[:-1] > 0)
+    a, b = _Running(item, np.arange(len(item))), _Running(doc[at], at)
+    tiles: list[tuple[int, int, int]] = []
+
+    def shared(size: int) -> bool:
+        return bool(np.isin(a.windows(size)[1], b.windows(size)[1]).any())
+
+    most = min(len(item), len(at))
+    while most >= MATCH and shared(MATCH):
+        low = MATCH
+        while low < most:
+            mid = (low + most + 1) // 2
+            low, most = (mid, most) if shared(mid) else (low, mid - 1)
+        places, hashes = b.windows(low)
+        order = np.argsort(hashes, kind="stable")
+        places, hashes = places[order], hashes[order]
+        ahead: dict[int, int] = {}  # by hash, the first occurrence that may be free
+        for p, h in zip(*a.windows(low), strict=True):
+            if a.taken[p : p + low].any():
+                continue
+            start, end = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
+            k = max(ahead.get(int(h), 0), int(start))
+            while k < end and (b.taken[places[k] : places[k] + low].any() or (b.words[places[k] : places[k] + low] != item[p : p + low]).any()):
+                k += 1
+            ahead[int(h)] = k
+            if k < end:
+                d = int(places[k])
+                a.taken[p : p + low] = b.taken[d : d + low] = True
+                tiles.append((low, int(p), int(at[d])))
+        most = low - 1
     return tiles
 
 
@@ -136,14 +165,13 @@ def coverage(item: np.ndarray, doc: np.ndarray) -> float:
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    row = TaskContext.get().partitionId() << 40
     for batch in batches:
         for ident, text in zip(batch.column(0), text_bytes(batch.column(1)), strict=True):
             words = words_of(text)
             seeds = np.unique(seeds_of(words, min(MATCH, max(1, len(words)))))
             if len(seeds):
-                yield pa.RecordBatch.from_arrays([pa.array([str(row)], pa.string()), pa.array([ident.as_py()], pa.int64()), pa.array([len(words)], pa.int64()), pa.array([words.tobytes()], pa.binary()), pa.array([seeds.astype(np.int64).tolist()], pa.list_(pa.int64()))], names=["item", "item_id", "n_words", "words", "seeds"])
-            row += 1
+                key = xxhash.xxh3_128_hexdigest(words.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([key], pa.string()), pa.array([ident.as_py()], pa.int64()), pa.array([len(words)], pa.int64()), pa.array([words.tobytes()], pa.binary()), pa.array([seeds.astype(np.int64).tolist()], pa.list_(pa.int64()))], names=["item", "item_id", "n_words", "words", "seeds"])
 
 
 def _seed_filter(items: DataFrame) -> np.ndarray:
@@ -157,90 +185,126 @@ def _seed_filter(items: DataFrame) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
-_HITS = "row long, doc_id long, seeds array<long>, text binary"
-
+def _hits(shared, sizes: list[int], at: int, lean: bool):
+    """Appends a row number and the seeds of each document that the benchmark may have; `at` is the text's column, left out of other rows if `lean`.
 
-def _hits(shared, sizes: list[int]):
-    """sizes: the lengths of the windows that the benchmark's seeds are of."""
+    sizes: the lengths of the windows that the benchmark's seeds are of.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         row = TaskContext.get().partitionId() << 40
-        for chunk in in_chunks(batches, "text"):
-            texts = text_bytes(chunk.column(1))
-            seeds, kept = [], []
-            for text in texts:
+        for chunk in in_chunks(batches, at):
+            seeds = []
+            for text in text_bytes(chunk.column(at)):
                 words = words_of(text)
                 s = np.concatenate([np.zeros(0, np.uint64), *[seeds_of(words, size) for size in sizes]])
                 for shift in SHIFTS:
                     s = s[bits[((s >> np.uint64(shift)) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)]]
                 s = np.unique(s)
                 seeds.append(s.astype(np.int64).tolist() if len(s) else None)
-                kept.append(text if len(s) else None)
-            n = len(texts)
-            yield pa.RecordBatch.from_arrays([pa.array(range(row, row + n), pa.int64()), chunk.column(0), pa.array(seeds, pa.list_(pa.int64())), pa.array(kept, pa.binary())], names=["row", "doc_id", "seeds", "text"])
+            n = chunk.num_rows
+            columns, found = list(chunk.columns[:-2]), pa.array(seeds, pa.list_(pa.int64()))
+            if lean:
+                columns[at] = pc.if_else(found.is_valid(), columns[at], pa.scalar(None, columns[at].type))
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(range(row, row + n), pa.int64()), found], names=chunk.schema.names)
             row += n
 
     return run
 
 
 def _tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last, doc = None, None
+    """Rows of row, team, item, words, text sorted by row and team; a team begins with the document's text."""
+    team, doc = None, None
     for batch in batches:
-        row, item, words, text = (batch.column(i) for i in range(4))
-        got = []
-        for r, w, t in zip(row.to_pylist(), words, text, strict=True):
-            if r != last:
-                last, doc = r, words_of(t.as_py())
-            got.append(coverage(np.frombuffer(w.as_py(), np.uint64), doc))
-        yield pa.RecordBatch.from_arrays([row, item, pa.array(got, pa.float64())], names=["row", "item_id", "coverage"])
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, n_items (items that leak into it), worst_item, coverage (the largest), contaminated.
-
-    Words are runs of letters and digits with their marks, lower-cased A-Z; in scripts without spaces every character is a
-    word. Items with fewer than MATCH words leak where all their words stand in a row, also those of one word; null texts
-    count as empty, and items without words leak nowhere. coverage is over the pairs that could leak, 0 where there are none; of items
-    with the same coverage the smallest id is worst. Repeated rows are judged alike; other columns are ignored, whatever
-    their names. An empty table on either side gives no contaminated rows.
-    """
+        row, teams, items, words, text = (batch.column(i) for i in range(5))
+        out: list[list] = [[], [], []]
+        for r, t, i, w, x in zip(row.to_pylist(), teams.to_pylist(), items.to_pylist(), words, text, strict=True):
+            if i is None:
+                team, doc = (r, t), words_of(x.as_py().encode())
+                continue
+            if (r, t) != team:
+                raise RuntimeError("a team without its document")
+            for column, value in zip(out, (r, i, coverage(np.frombuffer(w.as_py(), np.uint64), doc)), strict=True):
+                column.append(value)
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.float64())], names=["row", "item", "coverage"])
+
+
+def _flagged(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str, lean: bool) -> tuple[DataFrame, DataFrame, str, str]:
+    """docs, written, with a row number and the seeds found; what leaks, by row: n_items, w (the worst); the names of both columns."""
     spark = docs.sparkSession
     bench = benchmark.select(F.col(item).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
-    items = materialize(bench.mapInArrow(_items, "item string, item_id long, n_words long, words binary, seeds array<long>"), "bench-items")
+    every = materialize(bench.mapInArrow(_items, "item string, item_id long, n_words long, words binary, seeds array<long>"), "bench-items")
+    # Items with the same words leak alike: they are searched for once.
+    members = materialize(every.groupBy("item").agg(F.count("*").alias("copies"), F.min("item_id").alias("item_id")), "bench-members")
+    items = materialize(every.drop("item_id").dropDuplicates(["item"]), "bench-distinct")
     shared = spark.sparkContext.broadcast(_seed_filter(items))
     window = F.least(F.col("n_words"), F.lit(MATCH))
     sizes = sorted(r[0] for r in items.select(window).distinct().collect())  # MATCH at most
-    source = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = materialize(source.mapInArrow(_hits(shared, sizes), _HITS), "bench-hits")
+    row, seeds = fresh("_row", docs.columns), fresh("_seeds", docs.columns)
+    source = docs.withColumns({row: F.lit(0).cast("long"), seeds: F.lit(None).cast("array<long>")})
+    schema = StructType([StructField(f.name, f.dataType, True, f.metadata) for f in source.schema.fields])
+    rows = materialize(source.mapInArrow(_hits(shared, sizes, docs.columns.index(text), lean), schema), "bench-hits")
+    hits = rows.filter(F.col(seeds).isNotNull()).select(F.col(row).alias("row"), F.col(text).cast("string").alias("text"), F.col(seeds).alias("seeds"))
 
     # A leak of an item needs `least` of its distinct seeds, so all but its least - 1 most common ones find it.
-    seeds = items.select("item", "n_words", F.size("seeds").alias("n_seeds"), F.explode("seeds").alias("seed"))
-    common = seeds.groupBy("seed").agg(F.count("*").alias("items"))
+    each = items.select("item", "n_words", F.size("seeds").alias("n_seeds"), F.explode("seeds").alias("seed"))
+    common = materialize(each.groupBy("seed").agg(F.count("*").alias("items")), "bench-common")
     rare = Window.partitionBy("item").orderBy("items", "seed")
     repeats = F.col("n_words") - window + 1 - F.col("n_seeds")  # windows that repeat another one of the item
     least = F.greatest(F.lit(1), F.ceil(F.col("n_words") * COVERAGE / MATCH) - repeats)
-    index = seeds.join(common, "seed").withColumn("k", F.row_number().over(rare)).filter(F.col("k") <= F.col("n_seeds") - least + 1)
-    found = rows.filter("text IS NOT NULL").select("row", F.explode("seeds").alias("s"))
-    index = index.groupBy("seed").agg(F.collect_set("item").alias("in_items"))
-    weights = found.groupBy(F.col("s").alias("seed")).agg(F.count("*").alias("n")).join(index, "seed")
-    weights = materialize(weights.select(F.col("seed").cast("string").alias("key"), "n", "in_items"), "bench-seeds")
-    met = skewed_lookup(found.select("row", F.col("s").cast("string").alias("key")), weights, "key", "n", F.col("row"))
-    pairs = materialize(met.filter("in_items IS NOT NULL").select("row", F.explode("in_items").alias("item")).distinct(), "bench-pairs")
+    index = skewed_lookup(each, common, "seed", "items", F.col("item")).withColumn("k", F.row_number().over(rare)).filter(F.col("k") <= F.col("n_seeds") - least + 1)
+    index = materialize(index.select("seed", "item"), "bench-index")
+    found = hits.select("row", F.explode("seeds").alias("seed"))
+    asked = found.groupBy("seed").agg(F.count("*").alias("n")).join(index.groupBy("seed").agg(F.count("*").alias("m")), "seed")
+    asked = materialize(asked.select("seed", (F.col("n") * F.col("m")).alias("load")), "bench-loads")
+    total = asked.agg(F.sum("load")).first()[0] or 0
+    loaded = materialize(skewed_lookup(index, asked, "seed", "load", F.col("item")).filter("load IS NOT NULL"), "bench-asked")
+    met = skewed_lookup(found, loaded, "seed", "load", F.col("row"), total)
+    pairs = materialize(met.filter("item IS NOT NULL").select("row", "item").distinct(), "bench-pairs")
 
     per_item = pairs.groupBy("item").agg(F.count("*").alias("n"))
-    texts = materialize(items.join(per_item, "item").select("item", "n", "item_id", "words"), "bench-texts")
-    full = skewed_lookup(pairs, texts, "item", "n", F.col("row")).select("row", "item_id", "words")
-    full = full.join(rows.filter("text IS NOT NULL").select("row", "text"), "row").repartition(partitions(spark), "row").sortWithinPartitions("row")
-    tiled = full.mapInArrow(_tiled, "row long, item_id long, coverage double")
-    worst = F.min(F.struct((-F.col("coverage")).alias("c"), "item_id"))
-    by_row = tiled.groupBy("row").agg(F.count_if(F.col("coverage") >= COVERAGE).alias("n_items"), worst.alias("w"))
-    out = rows.select("row", "doc_id").join(by_row, "row", "left")
+    words = materialize(items.join(per_item, "item").select("item", "n", "words"), "bench-words")
+    full = skewed_lookup(pairs, words, "item", "n", F.col("row")).drop("n")
+    # A document's items are dealt to teams; each gets its text once, ahead of them.
+    per_row = materialize(pairs.groupBy("row").agg(F.count("*").alias("of_row"), F.ceil(F.count("*") / TEAM).cast("long").alias("teams")), "bench-rows")
+    full = skewed_lookup(full, per_row, "row", "of_row", F.col("item"))
+    none = F.lit(None)
+    full = full.select("row", F.pmod(F.xxhash64("item"), F.col("teams")).alias("team"), "item", "words", none.cast("string").alias("text"))
+    heads = hits.join(per_row, "row").select("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("teams") - 1)).alias("team"), none.cast("string").alias("item"), none.cast("binary").alias("words"), "text")
+    dealt = full.union(heads).repartition(partitions(spark), "row", "team").sortWithinPartitions("row", "team", F.asc_nulls_first("item"))
+    tiled = dealt.mapInArrow(_tiled, "row long, item string, coverage double")
+    tiled = materialize(tiled, "bench-tiled")
+    named = materialize(members.join(tiled.groupBy("item").agg(F.count("*").alias("n")), "item"), "bench-named")
+    tiled = skewed_lookup(tiled, named, "item", "n", F.col("row"))
+    worst = F.min(F.struct((-F.col("coverage")).alias("c"), F.col("item_id").isNull().alias("no"), "item_id"))
+    n_items = F.sum(F.when(F.col("coverage") >= COVERAGE, F.col("copies")).otherwise(0))
+    return rows, tiled.groupBy(F.col("row").alias(row)).agg(n_items.alias("n_items"), worst.alias("w")), row, seeds
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """One row per row of docs: doc_id, n_items (items that leak into it), worst_item, coverage (the largest), contaminated.
+
+    Words are runs of letters and digits with their marks, lower-cased A-Z; in scripts without spaces every character is a
+    word. Items with fewer than MATCH words leak where all their words stand in a row, also those of one word; null texts
+    count as empty, and items without words leak nowhere. coverage is over the pairs that could leak, 0 where there are none; of items
+    with the same coverage the smallest id is worst, and one without id last. Repeated rows are judged alike; other columns are ignored, whatever
+    their names. An empty table on either side gives no contaminated rows.
+    """
+    source = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows, leaks, row, _ = _flagged(source, benchmark, "text", item, item_text, True)
+    out = rows.select(row, "doc_id").join(leaks, row, "left")
     n = F.coalesce("n_items", F.lit(0))
     return out.select("doc_id", n.alias("n_items"), F.when(n > 0, F.col("w.item_id")).alias("worst_item"), F.coalesce(-F.col("w.c"), F.lit(0.0)).alias("coverage"), (n > 0).alias("contaminated"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that no benchmark item leaks into, all columns kept."""
-    bad = decontaminate(docs, benchmark, ident, text).filter("contaminated").select(F.col("doc_id").cast(docs.schema[ident].dataType).alias(ident)).distinct()
-    return docs.join(bad, ident, "left_anti").select(docs.columns)
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of docs that no benchmark item leaks into, all columns kept; each row is judged by its own text, whatever its id.
+
+    Rows without text are clean, and so are all rows where the benchmark is empty. An empty table gives an empty result.
+    """
+    rows, leaks, row, seeds = _flagged(docs, benchmark, text, item, item_text, False)
+    bad = leaks.filter("n_items > 0").select(row)
+    near = rows.filter(F.col(seeds).isNotNull()).join(bad, row, "left_anti")
+    return rows.filter(F.col(seeds).isNull()).unionByName(near).select(docs.columns)

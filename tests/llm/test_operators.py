@@ -2,10 +2,12 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -53,7 +55,30 @@ def test_exact_dedup_of_null_and_repeated_ids(spark):
     df = table(spark, ["x", "x", "x", "y"], [None, 3, 3, None])
     got = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(df).collect()), key=str)
     assert got == sorted([(None, 3, 3, False), (3, 3, 3, True), (3, 3, 3, True), (None, None, 1, True)], key=str)
-    assert [r.doc_id for r in exact_dedup.drop_duplicates(df).collect()] == [3]
+    assert sorted(((r.doc_id, r.text) for r in exact_dedup.drop_duplicates(df).collect()), key=str) == [(3, "x"), (None, "y")]
+
+
+def test_rows_that_share_an_id_are_not_lost(spark):
+    """Stages keep and drop rows, not ids: one id may stand for several texts, and rows may have none."""
+    a, b = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    near = a.replace("w59", "other")
+    kept = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    assert kept(exact_dedup.drop_duplicates(table(spark, ["alpha one", "beta two", "alpha one"], [5, 5, 9]))) == [(5, "beta two"), (9, "alpha one")]
+    assert kept(ngram_join.one_of_each(table(spark, [a, b, near], [5, 5, 3]))) == sorted([(3, near), (5, b)])
+    # Equal ids inside a component, no ids at all, and rows without words, which link with nothing.
+    odd = kept(ngram_join.one_of_each(table(spark, [a, near, a, b, b, None, "", " "], [5, 5, 5, None, None, 1, 1, None])))
+    assert len(odd) == 5 and {t for _, t in odd} >= {b, None, "", " "} and (None, b) in odd
+    assert exact_dedup.drop_duplicates(empty(spark)).isEmpty() and ngram_join.one_of_each(empty(spark)).isEmpty()
+    bench = spark.createDataFrame([(1, a)], "item_id long, text string")
+    assert kept(decontaminate.clean(table(spark, [a, b, a, "ok", a, "ok"], [5, 5, None, None, 7, None]), bench)) == sorted([(5, b), (None, "ok"), (None, "ok")], key=str)
+
+
+def test_repeated_rows_with_other_columns(spark):
+    """Of rows that repeat id and text, which one stays depends on their columns only, not on their order."""
+    rows = [(7, "same text", "en", f"s{i}", 9) for i in range(20)]
+    make = lambda r: spark.createDataFrame(r, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {tuple(exact_dedup.drop_duplicates(make(r).repartition(n)).collect()[0]) for r in (rows, rows[::-1]) for n in (1, 5)}
+    assert len(got) == 1
 
 
 @settings(max_examples=60, deadline=None)
@@ -67,11 +92,52 @@ def test_trie(rows):
     assert {k: tuple(v) for k, v in trie.items()} == want
 
 
-def test_small_budget_changes_nothing(spark, monkeypatch):
-    rows = [(len(t), hashlib.sha256(t).digest()[:8], t, i, 1) for i, t in enumerate([b"a" * k for k in range(1, 30)] * 2)]
-    monkeypatch.setattr(exact_dedup, "BUDGET", 50)
-    out = [r for b in exact_dedup._own(iter([exact_dedup._batch(sorted(rows))])) for r in b.to_pylist()]
-    assert len(out) == 29 and all(r["group_size"] == 2 for r in out)
+def owner_rows(texts):
+    texts = sorted(texts)
+    return [pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), pa.array(range(len(texts)), pa.int64()), pa.array([1] * len(texts), pa.int64())], names=["text", "ident", "n"])]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.binary(max_size=5), max_size=60), st.integers(0, 4000))
+def test_owners_spill_finished_subtrees(texts, budget):
+    """Whatever the budget, each text comes out once with its largest id and number of rows."""
+    before, exact_dedup.BUDGET = exact_dedup.BUDGET, budget
+    try:
+        out = [r for b in exact_dedup._own(iter(owner_rows(texts))) for r in b.to_pylist()]
+    finally:
+        exact_dedup.BUDGET = before
+    order = sorted(texts)
+    want = {hashlib.sha256(t).hexdigest(): (max(i for i, x in enumerate(order) if x == t), order.count(t)) for t in texts}
+    assert len(out) == len(want) and {r["text_sha256"]: (r["keep_id"], r["group_size"]) for r in out} == want
+
+
+def test_texts_share_a_trie_within_its_budget(monkeypatch):
+    """Short texts share labels in one trie; what it really takes stays near what it counts, and below the budget."""
+    texts = [b"%08d" % i for i in range(100_000)]
+    trie = exact_dedup.PatriciaTrie()
+    tracemalloc.start()
+    for i, t in enumerate(texts):
+        trie.insert(t, i + 1000)
+    real = tracemalloc.get_traced_memory()[0]
+    assert sum(len(n[0]) for n in exact_dedup.nodes(trie.root)) < 0.3 * 8 * len(texts)
+    assert real < trie.held
+    del trie
+    monkeypatch.setattr(exact_dedup, "BUDGET", 1 << 20)
+    batches = owner_rows(texts)
+    tracemalloc.reset_peak()
+    start = tracemalloc.get_traced_memory()[0]
+    n = sum(b.num_rows for b in exact_dedup._own(b for x in batches for b in (x.slice(i, 1000) for i in range(0, len(texts), 1000))))
+    peak = tracemalloc.get_traced_memory()[1] - start
+    tracemalloc.stop()
+    assert n == len(texts) and peak < 8 << 20
+
+
+def test_map_side_trie_releases_its_largest_subtrees():
+    trie, rows = exact_dedup.PatriciaTrie(), [bytes([65 + i % 7]) * (1 + i % 50) for i in range(700)]
+    for i, t in enumerate(rows):
+        trie.insert(t, i)
+    out = list(trie.release(trie.held // 2)) + list(trie.items())
+    assert sorted(t for t, _ in out) == sorted(set(rows)) and sum(x[1] for _, x in out) == len(rows)
 
 
 # -- personal data ------------------------------------------------------------------------------------------------------
@@ -227,6 +293,28 @@ def test_tiling(item, doc):
     assert got == plain_tiling(item, doc)
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(0, 40), max_size=6), st.integers(0, 10**6))
+def test_tiling_of_shuffled_passages(cuts, seed):
+    rng = np.random.default_rng(seed)
+    item = rng.integers(0, 30, 40).tolist()
+    edges = sorted({0, 40, *cuts})
+    parts = [item[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+    doc = [x for i in rng.permutation(len(parts)) for x in [*parts[i], int(rng.integers(100, 200))]]
+    assert decontaminate.tile(np.array(item, np.uint64), np.array(doc, np.uint64)) == plain_tiling(item, doc)
+
+
+def test_tiling_of_repeated_words_takes_little():
+    item, doc = np.ones(100, np.uint64), np.ones(100_000, np.uint64)
+    tracemalloc.start()
+    assert decontaminate.tile(item, doc) == [(100, 0, 0)]
+    mixed = np.where(np.arange(100_000) % 60 == 59, 2, 1).astype(np.uint64)
+    assert [t[0] for t in decontaminate.tile(item, mixed)] == [59, 41]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50 << 20
+
+
 def test_decontaminate(spark):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
     w = item.split()
@@ -241,6 +329,16 @@ def test_decontaminate(spark):
     assert sorted(r.doc_id for r in decontaminate.clean(table(spark, texts), bench).collect()) == [2, 3, 4, 5]
 
 
+def test_decontaminate_ties_repeats_and_teams(spark, monkeypatch):
+    """Equal items count each, the smallest id is worst; repeated rows are judged alike; a document's items may be in many teams."""
+    monkeypatch.setattr(decontaminate, "TEAM", 2)
+    items = [" ".join(f"i{k}w{j}" for j in range(8)) for k in range(12)]
+    bench = spark.createDataFrame([(20 + k, t) for k, t in enumerate(items)] + [(9, items[3]), (None, items[4]), (40, items[3].upper())], "item_id long, text string")
+    every = " x ".join(items)
+    got = decontaminate.decontaminate(table(spark, [every, every, items[3], items[3], "z " + items[4], None], [1, 1, 2, 3, None, 4]), bench).collect()
+    assert sorted(((r.doc_id, r.n_items, r.worst_item) for r in got), key=str) == sorted([(1, 15, 9), (1, 15, 9), (2, 3, 9), (3, 3, 9), (None, 2, 24), (4, 0, None)], key=str)
+
+
 def test_decontaminate_in_other_scripts_and_short_items(spark):
     han, thai = "今天天气很好我们去公园散步", "วันนี้อากาศดีมาก"
     quoted = "il dit «bonjour à tous» — puis s’en va très loin d’ici"
@@ -392,6 +490,54 @@ def test_ngram_join_without_links(spark):
     assert got == {5: 5, 6: 6, 7: 7, 8: 8}
 
 
+def test_a_list_of_many_components_stays_small():
+    """10,000 sets of one n-gram, all in different components: pairs come in parts, bounded by parities, and none that counts is lost."""
+    rng = np.random.default_rng(0)
+    n = 10_000
+    own = rng.integers(0, 1 << 63, (n, 40)).astype(np.uint64) * np.uint64(2)
+    own[1::2, :38] = own[::2, :38]  # neighbours share 38 of 40
+    cells = [ngram_join._parities(np.sort(x)) for x in own]
+    zero = np.zeros(n, np.int64)
+    tracemalloc.start()
+    pairs = [np.stack([a, b]) for a, b, _, _ in ngram_join.cell_pairs(np.arange(n), zero + 40, zero, np.arange(n), zero + 2, np.frombuffer(b"".join(cells), np.uint8).reshape(n, -1))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = {(int(a), int(b)) for p in pairs for a, b in p.T}
+    assert got >= {(i, i + 1) for i in range(0, n, 2)} and len(got) < 2 * n and peak < 200 << 20
+
+
+def test_ngram_join_in_small_parts(spark, monkeypatch):
+    """Lists cut into many cells by size and hash, fragments cut by set, components by rounds: the same result."""
+    rng = np.random.default_rng(3)
+    hot = [f"h{i}" for i in range(30)]
+    texts = [" ".join(hot + [f"t{x}" for x in rng.integers(0, 9, 3 + i % 14)]) for i in range(160)] + near_copies(60, 50, 6, 5)
+    want = plain_join(texts)
+    for name, value in (("CELL", 8), ("LIST", 4), ("TEAM", 3)):
+        monkeypatch.setattr(ngram_join, name, value)
+    monkeypatch.setattr(components, "LOCAL_LINKS", 0)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_join(table(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 60), st.integers(0, 3), st.integers(0, 3)), min_size=2, max_size=40), st.booleans())
+def test_cells_lose_no_pair(rows, split):
+    n = np.array([r[0] for r in rows])
+    pos, root = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    side = np.arange(len(n)) % 2 if split else np.full(len(n), 2)
+    bits = np.zeros((len(n), ngram_join.SIGN_BITS // 8), np.uint8)
+    got = {(int(a), int(b)) for a, b, _, _ in ((x[0][i], x[1][i], 0, 0) for x in ngram_join.cell_pairs(np.arange(len(n)), n, pos, root, side, bits) for i in range(len(x[0])))}
+    want = {(a, b) for b in range(len(n)) for a in range(b) if root[a] != root[b] and (not split or side[a] != side[b]) and ngram_join._passes(n[a], pos[a], n[b], pos[b])}
+    assert got == want
+
+
+def test_sets_whose_numbers_meet_are_told_apart(spark):
+    rows = [("0123456789abcdef" + "0" * 16, 1), ("0123456789abcdef" + "1" * 16, 2), ("f" * 32, 3)]
+    classes, renamed = ngram_join._numbered(spark.createDataFrame(rows, "sig string, least long"))
+    got = {r.sig: r.cls for r in classes.collect()}
+    assert len(set(got.values())) == 3 and got == {s: ngram_join._number(s, renamed) for s, _ in rows} and list(renamed) == [rows[1][0]]
+
+
 def test_ngram_join_of_a_chain(spark):
     """Each text is linked with the next only."""
     words = [f"w{i}" for i in range(400)]
@@ -414,6 +560,16 @@ def test_components(spark):
     assert components.connected_components(links.limit(0)).isEmpty()
 
 
+def test_components_by_rounds(spark, monkeypatch):
+    """Without the last task for few links: chains and hot centres, dealt to several tasks."""
+    monkeypatch.setattr(components, "LOCAL_LINKS", 0)
+    rng = np.random.default_rng(0)
+    rows = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(1000, i) for i in range(1001, 1500)] + [(i, i + 1) for i in range(2000, 2060)]
+    got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(rows, "a long, b long")).collect()}
+    u, v = components.forest(*np.array(rows).T)
+    assert got == dict(zip(u.tolist(), v.tolist(), strict=True))
+
+
 # -- chats --------------------------------------------------------------------------------------------------------------
 
 
