@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm.common import materialize, table
+from tallyloom.llm.common import materialize, scratch, table
 from tallyloom.llm.decontaminate import clean
 from tallyloom.llm.exact_dedup import drop_duplicates
 from tallyloom.llm.language_id import accepted
@@ -49,5 +49,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with scratch(spark) as keep:  # a stage's intermediate tables go once its result is written
+            docs = materialize(stage(spark, docs, sf_dir), name, keep)
     return STAGES[-1][1](spark, docs, sf_dir)
