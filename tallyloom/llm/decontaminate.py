@@ -14,7 +14,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -196,7 +195,8 @@ def _hits(shared, sizes: list[int], at: int, lean: bool):
         row = TaskContext.get().partitionId() << 40
         for chunk in in_chunks(batches, at):
             seeds = []
-            for text in text_bytes(chunk.column(at)):
+            texts = text_bytes(chunk.column(at))
+            for text in texts:
                 words = words_of(text)
                 s = np.concatenate([np.zeros(0, np.uint64), *[seeds_of(words, size) for size in sizes]])
                 for shift in SHIFTS:
@@ -206,7 +206,7 @@ def _hits(shared, sizes: list[int], at: int, lean: bool):
             n = chunk.num_rows
             columns, found = list(chunk.columns[:-2]), pa.array(seeds, pa.list_(pa.int64()))
             if lean:
-                columns[at] = pc.if_else(found.is_valid(), columns[at], pa.scalar(None, columns[at].type))
+                columns[at] = pa.array([t if s else None for t, s in zip(texts, seeds, strict=True)], pa.binary()).cast(columns[at].type)
             yield pa.RecordBatch.from_arrays([*columns, pa.array(range(row, row + n), pa.int64()), found], names=chunk.schema.names)
             row += n
 
