@@ -9,8 +9,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -66,41 +68,49 @@ def added_spans(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[
             v = m[0]
             if any(c.isdigit() for c in v) and any(c.isupper() for c in v) and any(c.islower() for c in v) and bits(v) >= RANDOM_BITS:
                 out.append((m.start(), 4, m.end(), v))
-    return [x for x in out if not any(x[0] < b[2] and b[0] < x[2] for b in base)]
+    # base is sorted by start: of those that start before a span ends, the one that ends last decides.
+    starts, last = [b[0] for b in base], list(accumulate((b[2] for b in base), max))
+    met = lambda x: (k := bisect_left(starts, x[2])) > 0 and last[k - 1] > x[0]
+    return [x for x in out if not met(x)]
 
 
 def render(spans: list[tuple[int, int, int, str]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b, _ in spans)
 
 
-_SCANNED = "row long, doc_id long, repo string, owner string, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, values array<struct<hash:string,random:boolean>>"
+_SCANNED = "row long, doc_id long, repo string, owner string, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, marks array<struct<span:string,value:int>>, values array<struct<value:int,hash:string,random:boolean>>"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     row = TaskContext.get().partitionId() << 40
+    names = [f.split()[0] for f in _SCANNED.split(", ")]
+    mark = pa.list_(pa.struct([("span", pa.string()), ("value", pa.int32())]))
+    value = pa.list_(pa.struct([("value", pa.int32()), ("hash", pa.string()), ("random", pa.bool_())]))
+    types = [pa.int64()] * 2 + [pa.string()] * 2 + [pa.int64()] * 3 + [pa.string()] * 2 + [mark, value]
     for batch in batches:
-        out: list[list] = [[] for _ in range(10)]
+        out: list[list] = [[] for _ in types]
         for doc_id, repo, owner, text in zip(*(batch.column(i) for i in range(4)), strict=True):
             t = text.as_py() or ""
             base = base_spans(t)
             every = sorted(base + added_spans(t, base))
             kinds = Counter(k for _, k, _, _ in base)
-            values = [{"hash": hashlib.sha256(v.encode()).hexdigest(), "random": bits(v) >= LIVE_BITS} for v in dict.fromkeys(x[3] for x in every)]
-            fields = (row, doc_id.as_py(), repo.as_py(), owner.as_py(), kinds[0], kinds[1], kinds[2], hashlib.sha256(render(base).encode()).hexdigest(), render(every), values)
+            number = {v: i for i, v in enumerate(dict.fromkeys(x[3] for x in every))}
+            marks = [{"span": render([x]), "value": number[x[3]]} for x in every]
+            values = [{"value": i, "hash": hashlib.sha256(v.encode()).hexdigest(), "random": bits(v) >= LIVE_BITS} for v, i in number.items()]
+            fields = (row, doc_id.as_py(), repo.as_py(), owner.as_py(), kinds[0], kinds[1], kinds[2], hashlib.sha256(render(base).encode()).hexdigest(), render(every), marks, values)
             for column, x in zip(out, fields, strict=True):
                 column.append(x)
             row += 1
-        names = [f.split()[0] for f in _SCANNED.split(", ")]
-        kind = pa.list_(pa.struct([("hash", pa.string()), ("random", pa.bool_())]))
-        types = [pa.int64()] * 2 + [pa.string()] * 2 + [pa.int64()] * 3 + [pa.string()] * 2 + [kind]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names)
 
 
 def scan_secrets(docs: DataFrame, ident: str = "doc_id", text: str = "text", repo: str = "source", owner: Column | None = None) -> DataFrame:
-    """One row per row of docs: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_example, n_owned, n_live.
+    """One row per row of docs: doc_id, n_assign, n_access, n_hex, base_sha256, spans, verdicts, n_example, n_owned, n_live, most_repos.
 
-    The counts and base_sha256 are those of the base kinds; spans also has what the method adds. Of a document's distinct
-    values, n_example are held by WIDE_OWNERS owners or more, n_owned by one owner only, n_live of these look random.
+    The counts and base_sha256 are those of the base kinds; spans also has what the method adds. verdicts says of each span
+    what the corpus makes of its value, as kind:start:end:verdict: example (WIDE_OWNERS owners or more have it), live (one
+    owner has it and it looks random), owned (one owner, not random), shared (what is between). n_example, n_owned (live
+    ones too) and n_live count the document's distinct values, most_repos is the largest number of repositories one is in.
     `owner` defaults to what stands before the first slash of `repo`. Null text counts as empty and gives no spans; a
     null repo is a repository of its own. Repeated rows give equal rows; other columns are ignored, whatever their names;
     an empty table gives an empty result.
@@ -109,15 +119,17 @@ def scan_secrets(docs: DataFrame, ident: str = "doc_id", text: str = "text", rep
     who = owner if owner is not None else F.substring_index(place, "/", 1)
     source = docs.select(F.col(ident).cast("long").alias("doc_id"), place.alias("repo"), who.alias("owner"), F.col(text).cast("string").alias("text"))
     found = materialize(source.mapInArrow(_scan, _SCANNED), "secret-scan")
-    values = found.filter(F.size("values") > 0).select("row", "repo", "owner", F.explode("values").alias("v")).select("row", "repo", "owner", "v.hash", "v.random")
+    values = found.filter(F.size("values") > 0).select("row", "repo", "owner", F.inline("values"))
     # Rows of a value are first reduced to one for each owner and repository, on the map side too.
     places = values.groupBy("hash", "owner", "repo").agg(F.count("*").alias("n"))
     owners = places.groupBy("hash", "owner").agg(F.sum("n").alias("n"), F.count("*").alias("repos"))
     spread = materialize(owners.groupBy("hash").agg(F.sum("n").alias("n"), F.sum("repos").alias("n_repos"), F.count("*").alias("n_owners")), "secret-spread")
-    known = skewed_lookup(values.select("row", "hash", "random"), spread, "hash", "n", F.col("row"))
-    one = F.col("n_owners") == 1
-    by_row = known.groupBy("row").agg(
-        F.count_if(F.col("n_owners") >= WIDE_OWNERS).alias("n_example"), F.count_if(one).alias("n_owned"), F.count_if(one & F.col("random")).alias("n_live"), F.max("n_repos").alias("most_repos")
-    )
+    known = skewed_lookup(values.select("row", "value", "hash", "random"), spread, "hash", "n", F.col("row"))
+    one, wide = F.col("n_owners") == 1, F.col("n_owners") >= WIDE_OWNERS
+    verdict = F.when(wide, "example").when(one & F.col("random"), "live").when(one, "owned").otherwise("shared")
+    said = F.transform(F.array_sort(F.collect_list(F.struct("value", verdict.alias("verdict")))), lambda x: x["verdict"]).alias("said")  # one for each value of a text
+    by_row = known.groupBy("row").agg(F.count_if(wide).alias("n_example"), F.count_if(one).alias("n_owned"), F.count_if(one & F.col("random")).alias("n_live"), F.max("n_repos").alias("most_repos"), said)
     out = found.drop("values", "repo", "owner").join(by_row, "row", "left").drop("row")
+    verdicts = F.array_join(F.transform("marks", lambda m: F.concat_ws(":", m["span"], F.get("said", m["value"]))), ",")
+    out = out.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", F.coalesce(verdicts, F.lit("")).alias("verdicts"), "n_example", "n_owned", "n_live", "most_repos")
     return out.fillna(0, ["n_example", "n_owned", "n_live", "most_repos"])
