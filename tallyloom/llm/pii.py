@@ -1,6 +1,6 @@
 """Personal data by weak supervision.
 
-Regex, gazetteer, context and edge labelers vote on candidate spans; expectation-maximisation over the table of vote
+Regex, gazetteer, context and edge labelers vote on candidate spans, the gazetteer by a table that their terms are joined with; expectation-maximisation over the table of vote
 patterns estimates how reliable each labeler is for each kind; its posteriors are the soft labels that train the final span
 classifier, a naive Bayes over votes, shape and context. Base spans are always kept; what the classifier accepts of the
 other kinds is added. DataFrame functions only.
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -38,18 +38,25 @@ STRICT = {
     "email_masked": r"(\[at\]|\(at\)).*(\[dot\]|\(dot\))",
     "name": r"\x20\p{Lu}\p{L}+\x20\p{Lu}\p{L}+$",
 }
-#: Gazetteers: a span that fits the first pattern gets a vote for, one that fits the second a vote against.
+#: The terms of the gazetteer that speak for a kind, and those that speak against it.
 GAZETTEER = {
-    "email": (r"(?i)\.(com|org|net|edu|gov|int|info|io|eu|de|at|ch|fr|be|es|mx|uk|us|ca)$", r"(?i)\.(png|jpg|gif|js|css|invalid|test|local)$"),
-    "ip": (r"^[1-9]", r"^(0|10|127|255)\.|^192\.168\.|^2[4-9][0-9]\."),
-    "card": (r"^[3-6]", r"^[0-2789]"),
-    "phone": (r"^\+(1|7|3[0-469]|4[0-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])", r"^\+0"),
-    "ssn": (r"^[0-8]", r"^(123-45-6789|078-05-1120)$"),
-    "iban": (r"^(AT|BE|CH|CZ|DE|DK|ES|FI|FR|GB|IE|IT|LU|NL|NO|PL|PT|SE)", r"^(ISO|RFC)"),
-    "phone_local": (r"^\(?[2-9]", r"^\(?(000|111|123)"),
-    "email_masked": (r"(?i)(com|org|net|edu|gov|io|de|fr|es|uk)$", r"(?i)(example|test)$"),
-    "name": (r"\x20(James|John|Robert|Michael|David|Mary|Patricia|Linda|Hans|Peter|Klaus|Anna|Maria|Jean|Pierre|Marie|José|Juan|Carmen|Luis)\b", r"\x20(Street|Road|Inc|Who)\b"),
+    "email": ("com org net edu gov int info io eu de at ch fr be es mx uk us ca it nl pl pt se no dk fi br ar cl co jp kr cn in au nz", "png jpg jpeg gif svg js css py txt invalid test local localhost"),
+    "ip": (" ".join(map(str, range(1, 224))), "0 10 127 192.168 169.254 " + " ".join(map(str, range(224, 256)))),
+    "card": ("3 4 5 6", "0 1 2 7 8 9"),
+    "phone": ("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98 212 351 353 358 380 420 421 971 972", "0"),
+    "ssn": ("0 1 2 3 4 5 6 7 8", "9 123-45-6789 078-05-1120"),
+    "iban": ("AT BE BG CH CY CZ DE DK EE ES FI FR GB GR HR HU IE IT LI LT LU LV MT NL NO PL PT RO SE SI SK", ""),
+    "phone_local": ("2 3 4 5 6 7 8 9", "000 111 123"),
+    "email_masked": ("com org net edu gov io de fr es uk", "example test"),
+    "name": (
+        "James John Robert Michael William David Richard Joseph Thomas Charles Daniel Matthew Anthony Mark Paul Steven Andrew Kenneth George Kevin Brian Edward Peter Mary Patricia Jennifer Linda Elizabeth Barbara Susan"
+        " Jessica Sarah Karen Nancy Lisa Margaret Sandra Ashley Emily Emma Anna Laura Julia Hans Klaus Jürgen Wolfgang Stefan Andreas Matthias Martin Karl Heinrich Ursula Monika Petra Sabine Claudia Heike Jean Pierre"
+        " Michel Philippe Alain Jacques François Nicolas Marie Nathalie Isabelle Sylvie Catherine Martine Sophie Camille José Antonio Manuel Francisco Juan Javier Carlos Miguel Luis Pedro Carmen María Maria Ana Isabel"
+        " Dolores Pilar Teresa Lucía Elena",
+        "Street Road Avenue Inc Who Bank House Strange",
+    ),
 }
+GAZETTEER_MOST = 200_000  #: terms of a gazetteer up to which it is broadcast
 CUES = {
     "email": r"mail|contact|write|reply",
     "ip": r"\bip\b|address|host|server|client|login",
@@ -131,23 +138,52 @@ def _by_kind(table: dict[str, str], of) -> Column:
     return reduce(lambda acc, k: F.when(F.col("kind") == KINDS.index(k), of(table[k])).otherwise(acc), table, F.lit(None))
 
 
-def _voted(found: DataFrame) -> DataFrame:
+def gazetteer(spark: SparkSession) -> DataFrame:
+    """The table of fixed terms: kind, term, vote (1 for the kind, 0 against it)."""
+    return spark.createDataFrame([(kind, term, vote) for kind, sides in GAZETTEER.items() for vote, terms in zip((1, 0), sides, strict=True) for term in terms.split()], "kind string, term string, vote int")
+
+
+def _terms() -> Column:
+    """The terms of a span that the gazetteer may have, three at most; the first that it has decides."""
+    s, d = F.col("s"), _digits(F.col("s"))
+    number = lambda part: F.regexp_replace(F.split_part(s, F.lit("."), F.lit(part)), "^0+(?=[0-9])", "")
+    last = F.lower(F.regexp_extract(s, r"([A-Za-z0-9-]+)$", 1))
+    word = lambda i: F.split_part(s, F.lit(" "), F.lit(i))
+    of = {
+        "email": [last], "ip": [F.concat_ws(".", number(1), number(2)), number(1)], "card": [F.substring(d, 1, 1)], "phone": [F.substring(d, 1, 3), F.substring(d, 1, 2), F.substring(d, 1, 1)],
+        "ssn": [s, F.substring(d, 1, 1)], "iban": [F.substring(s, 1, 2)], "phone_local": [F.substring(d, 1, 3), F.substring(d, 1, 1)], "email_masked": [last], "name": [word(2), word(3)],
+    }
+    return reduce(lambda acc, k: F.when(F.col("kind") == KINDS.index(k), F.array(*of[k])).otherwise(acc), of, F.array().cast("array<string>"))
+
+
+def _known(spans: DataFrame, terms: DataFrame) -> DataFrame:
+    """Adds `known`, the gazetteer's vote on each span or null."""
+    number = reduce(lambda acc, k: F.when(F.col("kind") == k, KINDS.index(k)).otherwise(acc), KINDS, F.lit(None))
+    table = terms.select(number.cast("int").alias("_k"), F.col("term").cast("string").alias("_term"), F.col("vote").cast("int").alias("_vote")).filter("_k IS NOT NULL")
+    table = table.groupBy("_k", "_term").agg(F.min("_vote").alias("_vote"))
+    if terms.limit(GAZETTEER_MOST + 1).count() <= GAZETTEER_MOST:
+        table = F.broadcast(table)
+    spans = spans.withColumn("_terms", _terms())
+    for i in range(3):
+        side = table.withColumnsRenamed({"_k": f"_k{i}", "_term": f"_t{i}", "_vote": f"_vote{i}"})
+        spans = spans.join(side, (F.col("kind") == F.col(f"_k{i}")) & (F.get("_terms", F.lit(i)) == F.col(f"_t{i}")), "left").drop(f"_k{i}", f"_t{i}")
+    return spans.withColumn("known", F.coalesce(*[f"_vote{i}" for i in range(3)])).drop("_terms", *[f"_vote{i}" for i in range(3)])
+
+
+def _voted(found: DataFrame, terms: DataFrame) -> DataFrame:
     """One row a span that holds, base kinds and those that meet none of them: votes (1 for, 0 against, -1 none) and features."""
     spans = found.filter(F.size("spans") > 0).select("row", F.inline("spans")).filter(_holds(F.col("kind"), F.col("s")))
     base = F.col("kind") < len(BASE)
     before = Window.partitionBy("row").orderBy("a", "kind").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy("row").orderBy(F.desc("a"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.withColumns({"x": F.max(F.when(F.col("kind") < len(BASE), F.col("b"))).over(before), "y": F.min(F.when(F.col("kind") < len(BASE), F.col("a"))).over(after)})
-    # Of one kind or several, an added span that starts inside an earlier added one goes too.
-    spans = spans.withColumn("z", F.max("b").over(before))
-    clear = (F.coalesce("x", F.lit(0)) <= F.col("a")) & (F.coalesce("y", F.lit(1 << 30)) >= F.col("b")) & (F.coalesce("z", F.lit(0)) <= F.col("a"))
-    spans = spans.filter(base | clear)
+    spans = spans.filter(base | ((F.coalesce("x", F.lit(0)) <= F.col("a")) & (F.coalesce("y", F.lit(1 << 30)) >= F.col("b"))))
+    spans = _known(spans.drop("x", "y"), terms)
     s, left = F.col("s"), F.lower("l")
     strict = F.when(base, 1).otherwise(F.coalesce(_by_kind(STRICT, lambda p: F.rlike(s, F.lit(p)).cast("int")), F.lit(-1)))
-    gazetteer = F.coalesce(_by_kind(GAZETTEER, lambda p: F.when(F.rlike(s, F.lit(p[1])), 0).when(F.rlike(s, F.lit(p[0])), 1).otherwise(-1)), F.lit(-1))
     context = F.coalesce(_by_kind(CUES, lambda p: F.when(F.rlike(left, F.lit(p)), 1).when(F.rlike(left, F.lit(AGAINST)), 0).otherwise(-1)), F.lit(-1))
     edge = F.when(F.rlike(F.substring("l", -1, 1), F.lit(r"[\p{L}\p{N}]")) | F.rlike(F.col("r"), F.lit(r"[\p{L}\p{N}]")), 0).otherwise(1)
-    spans = spans.withColumn("v", F.array(strict, gazetteer, context, edge))
+    spans = spans.withColumn("v", F.array(strict, F.coalesce("known", F.lit(-1)), context, edge))
     word = F.pmod(F.xxhash64(F.regexp_extract(left, r"(\S*)\s*$", 1)), F.lit(WORD_CELLS))
     shape = [F.concat(F.lit("n"), F.least(F.length(s), F.lit(40))), F.concat(F.lit("w"), word), F.concat(F.lit("r"), F.when(F.rlike("r", F.lit(r"^\s")), "s").when(F.col("r") == "", "e").otherwise("p"))]
     votes = [F.concat(F.lit(f"v{i}:"), F.get("v", F.lit(i))) for i in range(len(VOTES))]
@@ -213,21 +249,41 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["a"].cast("string"), x["b"].cast("string"))), ",")
 
 
-def find_pii(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
+def _apart(accepted: DataFrame) -> DataFrame:
+    """Of accepted added spans that overlap, those of better odds: row, x (a, kind, b)."""
+    order = Window.partitionBy("row").orderBy("a", "kind")
+    fresh = F.coalesce(F.col("a") >= F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    runs = accepted.withColumn("new", fresh.cast("long")).withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    # A run of spans that overlap each other is short: those of one kind never do.
+    each = F.struct((-F.round("odds", 6)).alias("o"), "a", "kind", "b")
+    sorted_ = runs.groupBy("row", "run").agg(F.array_sort(F.collect_list(each)).alias("all"))
+    none = F.array().cast("array<struct<a:int,kind:int,b:int>>")
+
+    def add(acc: Column, e: Column) -> Column:
+        one = F.array(F.struct(e["a"].alias("a"), e["kind"].alias("kind"), e["b"].alias("b")))
+        return F.when(F.exists(acc, lambda k: (k["a"] < e["b"]) & (e["a"] < k["b"])), acc).otherwise(F.concat(acc, one))
+
+    return sorted_.select("row", F.explode(F.aggregate("all", none, add)).alias("x"))
+
+
+def find_pii(docs: DataFrame, ident: str = "doc_id", text: str = "text", terms: DataFrame | None = None) -> DataFrame:
     """One row per row of docs: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added.
 
     Counts and base_sha256 are those of the base kinds; spans has base ones and those that the classifier adds, by start
-    and then kind, in code points. Null text counts as empty and has no spans. Repeated rows give equal rows; other columns
-    are ignored, whatever their names; an empty table gives an empty result.
+    and then kind, in code points. An added span meets no base span; of added ones that overlap, those stay that the
+    classifier is surer of. `terms` is the gazetteer (kind, term, vote); by default that of the fixed terms. Null text
+    counts as empty and has no spans. Repeated rows give equal rows; other columns are ignored, whatever their names; an
+    empty table gives an empty result.
     """
     found = _candidates(docs, ident, text)
-    voted = _voted(found)
+    voted = _voted(found, terms if terms is not None else gazetteer(docs.sparkSession))
     known = materialize(reliabilities(voted), "pii-reliabilities")
     model = materialize(classifier(voted, known), "pii-classifier")  # one row a kind
     scored = voted.join(F.broadcast(model), "kind", "left")
     odds = F.aggregate("features", F.col("bias"), lambda acc, f: acc + F.coalesce(F.try_element_at(F.col("weights"), f), F.lit(0.0)))
     base = F.col("kind") < len(BASE)
-    stay = scored.filter(base | (odds > 0)).select("row", F.struct("a", "kind", "b").alias("x"))
+    accepted = scored.filter(~base).withColumn("odds", odds).filter("odds > 0").select("row", "a", "kind", "b", "odds")
+    stay = voted.filter(base).select("row", F.struct("a", "kind", "b").alias("x")).unionByName(_apart(accepted))
     lists = stay.groupBy("row").agg(F.array_sort(F.collect_list("x")).alias("all"))
     kept = lists.withColumn("base", F.filter("all", lambda x: x["kind"] < len(BASE)))
     count = lambda i: F.size(F.filter("base", lambda x: x["kind"] == i)).cast("long")
