@@ -1,7 +1,7 @@
 """Quality by co-training: a view of the text and one of the page's metadata teach each other.
 
-Both views are linear classifiers over hashed features: words and their shapes in one, source, language and length in the
-other. They start from labels; in every round each scores all unlabelled documents outside the held-out fold and hands the
+Both views are linear classifiers over hashed features: words and their shapes in one, source, language and stated
+length in the other. They start from labels; in every round each scores all unlabelled documents outside the held-out fold and hands the
 other those that it is most confident of and hasn't handed over yet. Features are written once and read in every round. On labels kept aside the views' scores are calibrated and weighed against each other; the combination scores
 all documents.
 """
@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_chunks, materialize
+from .common import in_chunks, materialize, one_row_each
 
 LABELLED = 6000  #: labelled documents that are trained on at most, at every size of input
 ROUNDS = 3
@@ -72,8 +72,9 @@ def text_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.append(cells, stats).astype(np.int32), np.append(counts / n, [1.0, 1.0]).astype(np.float32)
 
 
-def meta_features(source: str | None, lang: str | None, n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = f"n={int(2 * math.log2(n + 1))}"
+def meta_features(source: str | None, lang: str | None, n: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of the page's metadata: source, language and length, whose logarithm is cut into steps."""
+    size = "n=" if n is None else f"n={int(2 * math.log2(max(n, 0) + 1))}"
     values = [f"s={source}", f"l={lang}", size]
     cells = np.unique([_cell(v, META_CELLS) for v in values])
     return cells.astype(np.int32), np.ones(len(cells), np.float32)
@@ -170,9 +171,9 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     row = TaskContext.get().partitionId() << 40
     for batch in batches:
         for chunk in in_chunks(iter([batch]), "text"):
-            text, source, lang = (chunk.column(i).to_pylist() for i in range(5, 8))
+            text, *meta = (chunk.column(i).to_pylist() for i in range(5, 9))
             t = [text_features(x) for x in text]
-            m = [meta_features(s, g, len(x or ""))[0] for s, g, x in zip(source, lang, text, strict=True)]
+            m = [meta_features(*x)[0] for x in zip(*meta, strict=True)]
             cells = [[f[0].astype(np.uint16).tobytes() for f in t], [f[1].tobytes() for f in t], [c.astype(np.uint16).tobytes() for c in m]]
             n = len(text)
             yield pa.RecordBatch.from_arrays([pa.array(range(row, row + n), pa.int64()), *[chunk.column(i) for i in range(5)], *[pa.array(c, pa.binary()) for c in cells]], names=[f.split()[0] for f in _FEATURES.split(", ")])
@@ -252,22 +253,22 @@ def held_out(ident):
     return F.coalesce(F.crc32(ident.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def featured(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", label: str = "quality") -> DataFrame:
+def featured(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", length: str = "n_chars", label: str = "quality") -> DataFrame:
     """The written features of all rows; y is set for the LABELLED labels of least id hash, the same bound at every size of input."""
-    rows = docs.select(F.col(ident).cast("long").alias("doc_id"), held_out(F.col(ident)).alias("held_out"), F.col(text).cast("string").alias("text"), F.col(source).cast("string").alias("source"), F.col(lang).cast("string").alias("lang"))
+    rows = docs.select(F.col(ident).cast("long").alias("doc_id"), held_out(F.col(ident)).alias("held_out"), F.col(text).cast("string").alias("text"), F.col(source).cast("string").alias("source"), F.col(lang).cast("string").alias("lang"), F.col(length).cast("long").alias("length"))
     h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
     y = labels.select(F.col(ident).cast("long").alias("doc_id"), F.col(label).cast("double").alias("y")).filter(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("doc_id")))
     y = y.groupBy("doc_id").agg(F.avg("y").alias("y")).filter("y <> 0.5").select("doc_id", F.when(F.col("y") > 0.5, 1).otherwise(0).alias("y"))
     y = materialize(y.orderBy(h, "doc_id").limit(LABELLED), "co-labels")  # at most LABELLED small rows: broadcast
     aside = F.pmod(F.xxhash64("doc_id", F.lit("aside")), F.lit(5)) == 0
-    known = rows.join(F.broadcast(y), "doc_id", "left").select("doc_id", "held_out", "y", aside.alias("aside"), h.alias("h"), "text", "source", "lang")
+    known = rows.join(F.broadcast(y), "doc_id", "left").select("doc_id", "held_out", "y", aside.alias("aside"), h.alias("h"), "text", "source", "lang", "length")
     return materialize(known.mapInArrow(_featured, _FEATURES), "co-features")
 
 
 def train(features: DataFrame) -> CoTrained:
     """Fit on the labelled rows, then ROUNDS times also on what the views hand each other."""
-    known = features.filter("y IS NOT NULL").dropDuplicates(["doc_id"]).withColumn("to", F.lit(None).cast("string"))
-    data = materialize(known.select(_TRAINING), "co-labelled")
+    known = features.filter("y IS NOT NULL").withColumn("to", F.lit(None).cast("string")).select(_TRAINING)
+    data = materialize(one_row_each(known, "doc_id"), "co-labelled")
     model = CoTrained()
     if data.isEmpty():
         return model
@@ -290,16 +291,17 @@ def train(features: DataFrame) -> CoTrained:
     return model
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", label: str = "quality") -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", length: str = "n_chars", label: str = "quality") -> DataFrame:
     """One row per row of docs: doc_id, held_out, text_score, meta_score, score, kept.
 
     Scores are probabilities of good quality from 0 to 1, either view's and the combination; kept from KEPT on. held_out
     marks documents whose labels nothing learnt from. Null texts count as empty and are scored by what remains; null
-    sources and languages are values of their own. Labels that contradict each other evenly, or are null, aren't used;
+    sources, languages and lengths are values of their own. A labelled id with several texts is learnt by the one whose
+    features have the least hash. Labels that contradict each other evenly, or are null, aren't used;
     without any, all scores are 0.5 and all rows are kept. Repeated rows are scored alike; other columns are ignored,
     whatever their names; an empty table gives an empty result.
     """
-    features = featured(docs, labels, ident, text, source, lang, label)
+    features = featured(docs, labels, ident, text, source, lang, length, label)
     model = docs.sparkSession.sparkContext.broadcast(train(features))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
