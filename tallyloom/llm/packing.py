@@ -12,7 +12,7 @@ from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark import TaskContext
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +22,9 @@ from .tokens import default_vocabulary, encoder
 CAPACITIES = (256, 512, 1024, 2048, 4096)  #: permitted lengths in tokens
 OVERHEAD = 32  #: what a bin costs besides its tokens
 SQUARE = 1 / 16384  #: what a pair of its tokens costs
-GROUP = 20_000  #: pieces that are packed together
+GROUP = 20_000  #: pieces that are packed together, about
+MOST = 4 * GROUP  #: and at most
+COPIES = 1 << 16  #: equal rows that are made at once
 
 
 def cost(capacity: int) -> float:
@@ -70,12 +72,10 @@ class Packer:
 def _lengths(vocabulary: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
-        row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            n = batch.num_rows
-            counts = [enc.count(t.as_py() or "") + end for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(row, row + n), pa.int64()), batch.column(0), pa.array(counts, pa.int64())], names=["row", "doc_id", "n_tokens"])
-            row += n
+            texts = [t.as_py() or "" for t in batch.column(1)]
+            bodies = [xxhash.xxh3_64_intdigest(t.encode()) - (1 << 63) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bodies, pa.int64()), pa.array([enc.count(t) + end for t in texts], pa.int64())], names=["doc_id", "body", "n_tokens"])
 
     return run
 
@@ -85,25 +85,29 @@ _PACKED = "doc_id long, piece long, start long, n_tokens long, bin_id long, bin_
 
 def _pack(capacities: Sequence[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by group, longest first."""
-        group, held = None, []
+        """Rows come sorted by group, longest first; after MOST pieces of a group, new bins are opened for the rest."""
+        group, held, before = None, [], 0
 
         def finish() -> Iterator[pa.RecordBatch]:
+            nonlocal before
             packer = Packer(capacities, sum(x[3] for x in held))
             placed = [packer.place(x[3]) for x in held]
             sizes = packer.sizes()
+            before += len(sizes)
             for k in range(0, len(held), 50_000):
                 part, where = held[k : k + 50_000], placed[k : k + 50_000]
-                columns = [*zip(*part, strict=True), [(group << 32) | b for b, _ in where], [at for _, at in where], [sizes[b] for b, _ in where], [packer.used[b] for b, _ in where]]
+                first = (group << 32) + before - len(sizes)
+                columns = [*zip(*part, strict=True), [first + b for b, _ in where], [at for _, at in where], [sizes[b] for b, _ in where], [packer.used[b] for b, _ in where]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=[f.split()[0] for f in _PACKED.split(", ")])
 
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(5)]
             for g, *x in zip(*columns, strict=True):
-                if g != group and held:
+                if held and (g != group or len(held) >= MOST):
                     yield from finish()
                     held = []
-                group = g
+                if g != group:
+                    group, before = g, 0
                 held.append(tuple(x))
         if held:
             yield from finish()
@@ -116,20 +120,26 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacities: Sequence[in
 
     A document is its tokens and `end` end tokens, so null and empty texts have those only. One longer than the largest
     capacity is cut into pieces of that length and a rest; start is where a piece begins in the document, bin_start where
-    in its bin. Repeated rows are packed each. Other columns are ignored, whatever their names; an empty table gives an
+    in its bin. Repeated rows are packed each. The same rows
+    give the same bins, however they are dealt over files. Other columns are ignored, whatever their names; an empty table gives an
     empty result.
     """
     spark = docs.sparkSession
     vocabulary = vocabulary or default_vocabulary()
     most = max(capacities)
     source = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    lengths = materialize(source.mapInArrow(_lengths(vocabulary, end), "row long, doc_id long, n_tokens long"), "pack-lengths")
-    cuts = F.sequence(F.lit(0), F.floor(F.greatest(F.col("n_tokens") - 1, F.lit(0)) / most).cast("long"))
-    pieces = lengths.select("row", "doc_id", F.col("n_tokens").alias("all"), F.explode(cuts).alias("piece"))
+    lengths = materialize(source.mapInArrow(_lengths(vocabulary, end), "doc_id long, body long, n_tokens long"), "pack-lengths")
+    # Rows that repeat an id and a text are alike: they are counted and made again, so they are dealt like all others.
+    rows = lengths.groupBy("doc_id", "body", F.col("n_tokens").alias("all")).agg(F.count("*").alias("n"))
+    runs = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))).alias("run"))
+    first = F.col("run") * COPIES
+    copies = runs.select("doc_id", "body", "all", F.explode(F.sequence(first, F.least(first + COPIES, F.col("n")) - 1)).alias("copy"))
+    cuts = F.sequence(F.lit(0).cast("long"), F.floor(F.greatest(F.col("all") - 1, F.lit(0)) / most))
+    pieces = copies.select("*", F.explode(cuts).alias("piece"))
     pieces = pieces.withColumn("start", F.col("piece") * most).withColumn("n_tokens", F.least(F.lit(most), F.col("all") - F.col("start"))).filter("n_tokens > 0")
-    total = pieces.count()
+    total = lengths.agg(F.sum(F.ceil(F.col("n_tokens") / most))).first()[0] or 0
     groups = max(1, -(-total // GROUP))
-    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "row"), F.lit(groups)))
+    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "body", "copy", "piece"), F.lit(groups)))
     n = min(groups, max(partitions(spark), 1) * 4)
-    sorted_ = dealt.repartition(n, "group").sortWithinPartitions("group", F.desc("n_tokens"), "doc_id", "piece", "row")
+    sorted_ = dealt.repartition(n, "group").sortWithinPartitions("group", F.desc("n_tokens"), "doc_id", "body", "piece", "copy")
     return sorted_.select("group", "doc_id", "piece", "start", "n_tokens").mapInArrow(_pack(capacities), _PACKED)
