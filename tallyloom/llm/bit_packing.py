@@ -141,7 +141,9 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0, id
             yield close()
 
     source = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    ordered = source.repartitionByRange(partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows that share an id, or have none, are ordered by a hash of the text, so that a hot id is dealt over several files too.
+    keyed = source.withColumns({"h": F.xxhash64("text"), "s": F.spark_partition_id()})
+    ordered = keyed.repartitionByRange(partitions(docs.sparkSession), "doc_id", "h", "s").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
     return materialize(ordered.mapInArrow(encode, "file string, part long, seq long, n_docs long, n_ids long"), "ids-manifest")
 
 
@@ -177,7 +179,7 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, end_id: int =
     """Write the ids of every document and read them back: doc_id, start, n_tokens, ids_crc32, one row per row of docs.
 
     Null text counts as empty and has the end id only. Null doc_ids come first; rows that repeat a doc_id are ordered by
-    text. Other columns are ignored, whatever their names. An empty table gives no files and an empty result.
+    a hash of the text. Other columns are ignored, whatever their names. An empty table gives no files and an empty result.
     """
     vocabulary = vocabulary or default_vocabulary()
     folder = folder or shared_path(docs.sparkSession, "ids")
