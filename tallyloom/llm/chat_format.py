@@ -2,7 +2,8 @@
 
 Services log a conversation again after every turn, so most logged conversations are prefixes of longer ones. A rolling
 hash of (position, role, text) identifies each prefix; an anti join drops conversations that some longer one continues.
-A conversation is handled in chunks of CHUNK turns, so one of any length is spread over tasks. DataFrame functions only.
+A conversation is handled in chunks of CHUNK turn numbers, each rendered in parts of CHUNK turns at most, so one of any
+length is spread over tasks. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-CHUNK = 256  #: turn numbers a chunk
+CHUNK = 256  #: turn numbers a chunk, and turns a part
 OPEN, CLOSE = "<|", "|>"
 END = "<|end|>"
 
@@ -33,7 +34,7 @@ def _keyed(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> Data
 def _positions(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Turns with their rank in the chunk, repeated rows once; chunks with part, offset and the conversation's length."""
     order = Window.partitionBy("conv_id", "chunk").orderBy(F.asc_nulls_last("turn"), "h1", "h2")
-    one = keyed.select("conv_id", "chunk", "turn", "h1", "h2").withColumn("before", F.lag(F.struct("turn", "h1", "h2")).over(order))
+    one = keyed.withColumn("before", F.lag(F.struct("turn", "h1", "h2")).over(order))
     one = one.filter(~F.col("before").eqNullSafe(F.struct("turn", "h1", "h2"))).drop("before")
     ranked = materialize(one.withColumn("r", F.row_number().over(order)), "chat-turns")
     chunks = ranked.groupBy("conv_id", "chunk").agg(F.max("r").cast("long").alias("n"))
@@ -42,7 +43,7 @@ def _positions(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
         "conv_id",
         "chunk",
         "n",
-        (F.row_number().over(along) - 1).cast("long").alias("part"),
+        (F.sum(F.ceil(F.col("n") / CHUNK)).over(along) - F.ceil(F.col("n") / CHUNK)).alias("part"),
         (F.sum("n").over(along) - F.col("n")).alias("turn_from"),
         F.sum("n").over(Window.partitionBy("conv_id")).alias("n_turns"),
     )
@@ -51,7 +52,7 @@ def _positions(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _prefixes(ranked: DataFrame, chunks: DataFrame) -> DataFrame:
     """conv_id, n_turns, pos and the 128 bits that stand for turns 1 to pos."""
-    rows = ranked.join(chunks, ["conv_id", "chunk"]).withColumn("pos", F.col("turn_from") + F.col("r"))
+    rows = ranked.drop("role", "text").join(chunks, ["conv_id", "chunk"]).withColumn("pos", F.col("turn_from") + F.col("r"))
     rows = rows.withColumns({"p1": F.xxhash64("pos", "h1", "h2"), "p2": F.xxhash64("h2", "h1", "pos")})
     inside = Window.partitionBy("conv_id", "chunk").orderBy("r").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumns({"p1": F.expr("bit_xor(p1)").over(inside), "p2": F.expr("bit_xor(p2)").over(inside)})
@@ -75,18 +76,19 @@ def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
 
     A conversation is the sequence of its (role, text) by turn; it goes when it is a proper prefix of another, and of
     equal ones the smallest conv_id stays, n_copies of them all. A part holds the turns of one chunk of CHUNK turn
-    numbers, from position turn_from on, so shorter conversations have part 0 only. Rows without conv_id are left out;
-    null roles and texts count as empty; turns without a number come last; repeated rows count once; turns that share a
-    number are ordered by a hash. A marker inside a role or text is broken up, so it can't be forged. Other columns are
-    ignored, whatever their names. An empty table gives an empty result.
+    numbers, from position turn_from on, so shorter conversations have part 0 only; a chunk whose turns share numbers has
+    a part for every CHUNK of them. Rows without conv_id are left out; null roles and texts count as empty; turns without
+    a number come last; repeated rows count once; turns that share a number are ordered by a hash. A marker inside a role
+    or text is broken up, so it can't be forged. Other columns are ignored, whatever their names. An empty table gives an
+    empty result.
     """
-    keyed = _keyed(turns, conv, turn, role, text)
-    ranked, chunks = _positions(keyed)
+    ranked, chunks = _positions(_keyed(turns, conv, turn, role, text))
     stay = maximal_conversations(ranked, chunks)
     safe = lambda c: F.replace(F.col(c), F.lit(OPEN), F.lit("< |"))
     shown = F.concat(F.lit(OPEN), safe("role"), F.lit(f"{CLOSE}\n"), safe("text"), F.lit(f"{END}\n"))
-    one = F.struct(F.col("turn").isNull().alias("n"), "turn", "h1", "h2", shown.alias("s"))
-    # A chunk has at most CHUNK turn numbers, so what is gathered for a part stays small.
-    parts = keyed.join(stay, "conv_id").groupBy("conv_id", "chunk", "n_copies").agg(F.array_sort(F.collect_set(one)).alias("said"))
-    out = parts.join(chunks, ["conv_id", "chunk"])
+    placed = ranked.join(chunks.drop("n").join(stay, "conv_id"), ["conv_id", "chunk"])
+    further = F.floor((F.col("r") - 1) / CHUNK).cast("long")
+    placed = placed.withColumns({"part": F.col("part") + further, "turn_from": F.col("turn_from") + further * CHUNK})
+    # A part has CHUNK turns at most.
+    out = placed.groupBy("conv_id", "part", "turn_from", "n_turns", "n_copies").agg(F.array_sort(F.collect_list(F.struct("r", shown.alias("s")))).alias("said"))
     return out.select("conv_id", "part", "turn_from", "n_turns", "n_copies", F.array_join(F.transform("said", lambda x: x["s"]), "").alias("rendered"))
