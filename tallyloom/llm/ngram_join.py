@@ -46,7 +46,7 @@ CHUNK = 2 << 20  #: bytes of text whose n-grams are made at once
 FINE, COARSE, LARGE = 1024, 256, 1024  #: fragments whose sizes bound overlaps, for sets over LARGE and for others
 FLUSH = 1 << 18  #: entries that a task holds before it emits them
 LIST = 1 << 16  #: documents of an n-gram from which the fragment of its list is cut by set
-CELL = 4096  #: sets of a list that meet in a cell, from either side
+CELL = 1024  #: sets of a list that meet in a cell, from either side
 STRIP = 128  #: sets that are compared with all others of a cell at once
 SIGN_BITS = 1024  #: bits of a set's parities, which bound overlaps in cells
 CLASHES = 10_000  #: sets whose 64-bit numbers meet, at most; beyond it the join refuses
