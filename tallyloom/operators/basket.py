@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import EngineConfig
@@ -84,6 +84,37 @@ def rfm_scores(scores: DataFrame) -> DataFrame:
     return min_max(scores, {"-rfm_recency": "rfm_recency_score", "rfm_frequency": "rfm_frequency_score", "rfm_monetary": "rfm_monetary_score"})
 
 
+BUCKETS = 4096  #: ranges of values that a group is cut into to find its thirds
+
+
+def thirds(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """A row a group: its thirds q1 and q2 over rows, linear between neighbours, lo, hi and the number n of distinct values.
+
+    Exact, and no task holds a group: a histogram tells which of its ranges have the ranks wanted, and only the values of
+    those are put in order.
+    """
+    values = rows.groupBy(*keys, F.col(value).alias("v")).agg(F.count("*").alias("c"))
+    groups = values.groupBy(*keys).agg(F.sum("c").alias("rows"), F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    width = F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
+    placed = values.join(groups, keys).withColumn("bucket", F.coalesce(F.least(F.floor((F.col("v") - F.col("lo")) / width * BUCKETS), F.lit(BUCKETS - 1)), F.lit(0)).cast("int"))
+    along = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # BUCKETS rows a group at most
+    counts = placed.groupBy(*keys, "bucket", "rows").agg(F.sum("c").alias("c")).withColumn("before", F.coalesce(F.sum("c").over(along), F.lit(0)))
+    place = lambda third: (F.col("rows") - 1) * third / F.lit(3)
+    ranks = F.array(*[F.struct(F.lit(f"{side}{third}").alias("name"), f(place(third)).cast("long").alias("rank")) for third in (1, 2) for side, f in (("below", F.floor), ("above", F.ceil))])
+    wanted = counts.select(*keys, "bucket", "before", "c", F.explode(ranks).alias("r")).filter((F.col("r.rank") >= F.col("before")) & (F.col("r.rank") < F.col("before") + F.col("c")))
+    inside = Window.partitionBy(*keys, "bucket", "name").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    found = placed.select(*keys, "bucket", "v", F.col("c").alias("cv")).join(wanted.select(*keys, "bucket", "before", "r.name", "r.rank"), [*keys, "bucket"])
+    found = found.withColumn("at", F.col("before") + F.coalesce(F.sum("cv").over(inside), F.lit(0))).filter((F.col("rank") >= F.col("at")) & (F.col("rank") < F.col("at") + F.col("cv")))
+    pick = lambda name: F.max(F.when(F.col("name") == name, F.col("v"))).alias(name)
+    known = groups.join(found.groupBy(*keys).agg(*[pick(f"{side}{third}") for third in (1, 2) for side in ("below", "above")]), keys)
+
+    def quantile(third: int) -> Column:
+        low, high = F.col(f"below{third}"), F.col(f"above{third}")
+        return low + (high - low) * (place(third) - F.floor(place(third)))
+
+    return known.select(*keys, quantile(1).alias("q1"), quantile(2).alias("q2"), "lo", "hi", "n")
+
+
 def price_bands(lines: DataFrame) -> DataFrame:
     """Per customer, product, region and end use: mean price and its tertile band within region and end use.
 
@@ -91,9 +122,7 @@ def price_bands(lines: DataFrame) -> DataFrame:
     edges that coincide, make all of the group Mid.
     """
     prices = lines.groupBy("customer_id", "product_id", "region", "end_use").agg(F.round(F.avg("price"), 8).alias("mean_price"))
-    thirds = F.percentile("mean_price", F.array(F.lit(1 / 3), F.lit(2 / 3)))
-    edges = prices.groupBy("region", "end_use").agg(thirds.alias("q"), F.min("mean_price").alias("lo"), F.max("mean_price").alias("hi"), F.count_distinct("mean_price").alias("n"))
-    edges = edges.select("region", "end_use", F.round(F.get("q", F.lit(0)), 8).alias("q1"), F.round(F.get("q", F.lit(1)), 8).alias("q2"), "lo", "hi", "n")
+    edges = thirds(prices, ["region", "end_use"], "mean_price").withColumns({q: F.round(q, 8) for q in ("q1", "q2")})
     p = F.col("mean_price")
     flat = (F.col("n") < 3) | (F.col("lo") == F.col("q1")) | (F.col("q1") == F.col("q2")) | (F.col("q2") == F.col("hi"))
     band = F.when(flat, "Mid").when(p <= F.col("q1"), "Low").when(p <= F.col("q2"), "Mid").otherwise("High")

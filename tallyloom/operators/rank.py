@@ -89,29 +89,51 @@ def association_recommendations(scored: DataFrame, basket: DataFrame) -> DataFra
     )
 
 
+def _prefix(rows: DataFrame, items: str, length: Column) -> DataFrame:
+    """The first `length` items of a shelf, a row each: product_id, popularity, categories."""
+    picked = rows.withColumn("_x", F.explode(F.slice(items, F.lit(1), length.cast("int")))).drop(items)
+    return picked.select(*[c for c in picked.columns if c not in ("_x", "l2_category")], F.col("_x.product_id").alias("product_id"), (-F.col("_x.p")).alias("popularity"), "_x.l2_category", "_x.l3_category")
+
+
 def fallback_recommendations(basket: DataFrame, clusters: DataFrame, already: DataFrame, config: EngineConfig) -> DataFrame:
     """For customers with fewer than top_k in `already`: products of their segment that are in stock and new to them.
 
-    Ordered by affinity to the category and then popularity; only as many as are missing. A segment's pool is cut to the
-    products that can matter: of each category, a customer needs top_k more than it bought or has, by popularity.
+    Ordered by affinity to the category and then popularity; only as many as are missing. A segment's products are kept as
+    shelves, an array by popularity for each category, and a customer takes from each of its own categories what is missing
+    and what it knows there already. Only those whose own categories don't suffice go along the whole segment, past what
+    they know and their own categories.
     """
     have = already.groupBy("customer_id").agg(F.count("*").alias("n_have"))
-    own = clusters.select("customer_id", "segment", "cluster_id").join(have, "customer_id", "left").withColumn("n_have", F.coalesce("n_have", F.lit(0)))
-    own = own.filter(F.col("n_have") < config.top_k)
+    own = clusters.select("customer_id", "segment", "cluster_id").join(have, "customer_id", "left")
+    own = own.withColumn("missing", config.top_k - F.coalesce("n_have", F.lit(0))).drop("n_have").filter("missing > 0")
     bought = basket.select("customer_id", "product_id").distinct()
+    kinds = categories(basket)
     known = bought.union(already.select("customer_id", F.col("recommended_product").alias("product_id"))).distinct()
-    pool = segment_popularity(basket).join(in_stock_products(basket), "product_id", "left_semi").join(categories(basket), "product_id")
-    place = Window.partitionBy("segment", "l2_category").orderBy(F.desc("popularity"), "product_id")
-    pool = pool.withColumn("_place", F.row_number().over(place))
-    size = known.join(own.select("customer_id"), "customer_id", "left_semi").groupBy("customer_id").agg(F.count("*").alias("n_known"))
-    own = own.join(size, "customer_id", "left")
-    met = own.join(pool, "segment").filter(F.col("_place") <= F.coalesce("n_known", F.lit(0)) + config.top_k)
-    met = met.join(known, ["customer_id", "product_id"], "left_anti").join(l2_affinity(basket), ["customer_id", "l2_category"], "left")
-    met = met.withColumn("l2_affinity", F.coalesce("l2_affinity", F.lit(0.0)))
+    known = stage(known.join(own.select("customer_id"), "customer_id", "left_semi").join(kinds.select("product_id", "l2_category"), "product_id"), "known")
+    pool = segment_popularity(basket).join(in_stock_products(basket), "product_id", "left_semi").join(kinds, "product_id")
+    item = F.struct((-F.col("popularity")).alias("p"), "product_id", "l2_category", "l3_category")
+    # A shelf is as long as the catalogue at most.
+    shelves = stage(pool.groupBy("segment", "l2_category").agg(F.array_sort(F.collect_list(item)).alias("shelf")), "shelves")
+    aisles = shelves.groupBy("segment").agg(F.array_sort(F.flatten(F.collect_list("shelf"))).alias("aisle"))
+
+    likes = l2_affinity(basket)
+    mine = likes.filter(F.round("l2_affinity", 9) > 0).select("customer_id", "l2_category")
+    met = own.join(mine, "customer_id").join(known.groupBy("customer_id", "l2_category").agg(F.count("*").alias("n_known")), ["customer_id", "l2_category"], "left")
+    met = met.join(shelves, ["segment", "l2_category"])
+    near = _prefix(met.select(*own.columns, "l2_category", "shelf", "n_known"), "shelf", F.col("missing") + F.coalesce("n_known", F.lit(0))).drop("n_known")
+    near = near.join(known.select("customer_id", "product_id"), ["customer_id", "product_id"], "left_anti")
+    got = near.groupBy("customer_id").agg(F.count("*").alias("n_near"))
+    passed = met.groupBy("customer_id").agg(F.sum(F.size("shelf")).alias("n_mine"))
+    short = own.join(got, "customer_id", "left").filter(F.coalesce("n_near", F.lit(0)) < F.col("missing")).drop("n_near")
+    short = short.join(known.groupBy("customer_id").agg(F.count("*").alias("n_known")), "customer_id", "left").join(passed, "customer_id", "left")
+    length = F.col("missing") + F.coalesce("n_known", F.lit(0)) + F.coalesce("n_mine", F.lit(0))
+    far = _prefix(short.join(aisles, "segment"), "aisle", length).drop("n_known", "n_mine")
+    far = far.join(known.select("customer_id", "product_id"), ["customer_id", "product_id"], "left_anti").join(mine, ["customer_id", "l2_category"], "left_anti")
+    every = near.unionByName(far).join(likes, ["customer_id", "l2_category"], "left").withColumn("l2_affinity", F.coalesce("l2_affinity", F.lit(0.0)))
     order = Window.partitionBy("customer_id").orderBy(F.desc(F.round("l2_affinity", 9)), F.desc("popularity"), "product_id")
-    met = met.withColumn("_k", F.row_number().over(order)).filter(F.col("_k") <= config.top_k - F.col("n_have"))
+    every = every.withColumn("_k", F.row_number().over(order)).filter(F.col("_k") <= F.col("missing"))
     zero = F.lit(0.0)
-    return met.select(
+    return every.select(
         "customer_id", F.col("product_id").alias("recommended_product"), "cluster_id", "segment", "l2_category", "l3_category", F.lit(FALLBACK).alias("trigger_product"),
         zero.alias("support"), zero.alias("confidence"), zero.alias("lift"), (0.1 + F.col("l2_affinity")).alias("score"), F.lit(1).alias("recommended_qty"), fallback_reason("l2_category", "l2_affinity").alias("reason"),
     )
