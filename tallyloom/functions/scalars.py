@@ -46,9 +46,9 @@ def clip(c: Column, low: float, high: float) -> Column:
     return F.least(F.greatest(c, F.lit(low)), F.lit(high))
 
 
-def ratio(a: Column, b: Column) -> Column:
-    """a / b, null where b is 0."""
-    return a / F.nullif(b, F.lit(0).cast("double"))
+def iso_text(c: Column) -> Column:
+    """A time as ISO 8601 text, to the second."""
+    return F.date_format(c.cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss")
 
 
 def segment(region: str = "region", end_use: str = "end_use") -> Column:

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import EngineConfig
+from ..functions.scalars import iso_text
 from .rank import top_k
 
-# Reason codes that speak against and for a recommendation.
+# Reason codes that speak against and for a recommendation; the latter weigh like a medium rating without one.
 NEGATIVE = ("not_relevant", "wrong_category", "already_have_contract", "customer_not_interested", "price_too_high", "out_of_territory", "competitor_product", "not_applicable", "poor_quality_signal")
 POSITIVE = ("good_fit", "high_potential", "customer_interested", "complements_existing", "strong_affinity", "recommended_and_sold")
 
@@ -20,7 +21,7 @@ def _plain(name: str) -> Column:
 def weight(config: EngineConfig) -> Column:
     """By rating; a medium one by sentiment and then reason; 1 for what is unknown."""
     rating, sentiment, reason = _plain("rating"), _plain("sentiment"), _plain("reason_code")
-    medium = F.when(sentiment == "positive", config.weight_med_pos).when(sentiment == "negative", config.weight_med_neg).when(reason.isin(*NEGATIVE), config.weight_med_neg).otherwise(config.weight_med_pos)
+    medium = F.when(sentiment == "positive", config.weight_med_pos).when(sentiment == "negative", config.weight_med_neg).when(reason.isin(*NEGATIVE), config.weight_med_neg).when(reason.isin(*POSITIVE), config.weight_med_pos).otherwise(config.weight_med_pos)
     return F.when(rating == "high", config.weight_high).when(rating == "low", config.weight_low).when(rating == "medium", medium).otherwise(F.lit(1.0))
 
 
@@ -103,4 +104,4 @@ def summary(feedback: DataFrame, recs: DataFrame, config: EngineConfig, generate
         mapped(reasons(w), "reason_code", F.col("n"), "reason_code_distribution"), suggestions(rates, config).select(F.struct("min_confidence", "score_cutoff", "rationale").alias("threshold_suggestions")),
     ):
         out = out.crossJoin(F.broadcast(part))  # one row each
-    return out.select(F.to_json(F.struct(F.lit(generated_at).alias("generated_at"), F.col("overall")["n"].alias("total_feedback_rows"), *out.columns)).alias("summary"))
+    return out.select(F.to_json(F.struct(iso_text(F.lit(generated_at)).alias("generated_at"), F.col("overall")["n"].alias("total_feedback_rows"), *out.columns)).alias("summary"))

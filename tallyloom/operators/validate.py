@@ -70,9 +70,23 @@ def enrich(recs: DataFrame, products: DataFrame, customers: DataFrame) -> DataFr
     return out.join(customers.select("customer_id", "customer_name", "region", "end_use", "customer_type"), "customer_id", "left").withColumn("confidence_text", percent_text(F.col("confidence")))
 
 
-def sample_customers(recs: DataFrame, n: int = 10) -> DataFrame:
-    """The n customers of least hash: a sample that is the same every time."""
-    return recs.select("customer_id").distinct().orderBy(F.xxhash64("customer_id"), "customer_id").limit(n)
+def sample_customers(recs: DataFrame, n: int = 10, seed: int = 42) -> DataFrame:
+    """The n customers of least digest with the seed: a sample that is the same every time."""
+    draw = F.md5(F.concat_ws(":", F.lit(str(seed)), "customer_id"))
+    return recs.select("customer_id").distinct().orderBy(draw, "customer_id").limit(n)
+
+
+def customer_profiles(enriched: DataFrame) -> DataFrame:
+    """A row a customer with recommendations: who it is, its segment and cluster."""
+    who = ["customer_name", "region", "end_use", "customer_type", *[c for c in ("city", "state") if c in enriched.columns], "segment", "cluster_id"]
+    return enriched.groupBy("customer_id").agg(*[F.min(c).alias(c) for c in who], F.count("*").alias("n_recommendations"))
+
+
+def top_products(basket: DataFrame, top: int = 5) -> DataFrame:
+    """Per customer, the products it bought most of."""
+    order = Window.partitionBy("customer_id").orderBy(F.desc("total_quantity"), "product_id")
+    rows = basket.select("customer_id", "product_id", "l2_category", "l3_category", "total_quantity")
+    return rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= top)
 
 
 def category_totals(basket: DataFrame, top: int = 5) -> DataFrame:
@@ -100,11 +114,20 @@ def quality_distribution(quality: DataFrame) -> DataFrame:
     return sums.crossJoin(F.broadcast(quality.agg(F.count("*").alias("all")))).select("quality", "n", F.round(F.col("n") / F.col("all") * 100, 2).alias("percent"))
 
 
-def sample_analysis(enriched: DataFrame, n: int = 10) -> DataFrame:
-    """The sampled customers with scores, tier and whether their categories fit."""
-    some = enriched.join(sample_customers(enriched, n), "customer_id", "left_semi")
-    who = some.groupBy("customer_id").agg(F.first("customer_name").alias("customer_name"), F.first("segment").alias("segment"), F.first("cluster_id").alias("cluster"))
-    return who.join(category_match(some), "customer_id").join(customer_quality(some), "customer_id")
+def sample_analysis(enriched: DataFrame, basket: DataFrame, n: int = 10) -> DataFrame:
+    """The sampled customers: profile, what they bought most by category and product, scores, tier and whether categories fit."""
+    picked = sample_customers(enriched, n)
+    some, bought = (df.join(F.broadcast(picked), "customer_id", "left_semi") for df in (enriched, basket))  # n rows
+    listed = lambda df, name, shown: df.groupBy("customer_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", shown.alias("s")))), lambda x: x["s"]), "; ").alias(name))
+    units = F.concat(F.lit(": "), F.col("total_quantity").cast("long").cast("string"), F.lit(" units"))
+    kinds = listed(category_totals(bought), "bought_categories", F.concat(F.col("l2_category"), units, F.lit(" ("), F.col("purchase_frequency").cast("string"), F.lit(" purchases)")))
+    products = listed(top_products(bought), "bought_products", F.concat(F.col("product_id"), units))
+    out = customer_profiles(some)
+    for part in (category_match(some).drop("end_use"), customer_quality(some)):
+        out = out.join(part, "customer_id")
+    for part in (kinds, products):
+        out = out.join(part, "customer_id", "left")
+    return out
 
 
 def sales_report(enriched: DataFrame, n: int | None = 10) -> DataFrame:
@@ -114,3 +137,8 @@ def sales_report(enriched: DataFrame, n: int | None = 10) -> DataFrame:
         F.col("customer_name").alias("customer"), F.col("region").alias("location"), F.col("end_use").alias("business_type"), F.col("rank").cast("long").alias("rank"), "recommended_product", F.col("recommended_brand").alias("brand"),
         F.col("recommended_category").alias("category"), price_text(F.col("product_price")).alias("price"), F.col("recommended_qty").cast("long").alias("suggested_qty"), F.col("confidence_text").alias("confidence"), F.col("reason").alias("why"),
     )
+
+
+def preview(report: DataFrame, n: int = 10) -> DataFrame:
+    """The first rows of a report."""
+    return report.orderBy("customer", "rank", "recommended_product").limit(n)

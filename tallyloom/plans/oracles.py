@@ -10,6 +10,12 @@ _NEGATIVE = ", ".join(f"'{c}'" for c in NEGATIVE)
 _REASONS = ", ".join(f"'{c}'" for c in REASONS)
 _EXPECTED = " ".join(f"WHEN '{k}' THEN {v}" for k, v in EXPECTED.items())
 
+
+def _text(x: str, places: int) -> str:
+    """A number with so many decimals, rounded half up."""
+    return f"round(({x})::DECIMAL(18, 9), {places})::DECIMAL(18, {places})::VARCHAR"
+
+
 #: Common table expressions in order of dependence; those a query doesn't use cost nothing.
 STEPS = {
     "customers": """SELECT c_custkey::VARCHAR AS customer_id, c_custkey, c_name AS customer_name, r_name AS region, c_mktsegment AS end_use,
@@ -74,15 +80,15 @@ STEPS = {
         + 0.20::DOUBLE * least(greatest((lift - 1) / 4, 0), 1) + 0.15::DOUBLE * least(greatest(recency_score, 0), 1) + coalesce(l3_share, 0) * 0.02::DOUBLE AS score
         FROM candidates c JOIN rec USING (customer_id) JOIN cats ON cats.product_id = product_b LEFT JOIN l3 USING (customer_id, l3_category)""",
     "best": "SELECT *, row_number() OVER (PARTITION BY customer_id, product_b ORDER BY round(score, 9) DESC, product_a) AS k FROM scored",
-    "assoc": """SELECT b.customer_id, product_b AS recommended_product, cluster_id, segment, l2_category, l3_category, product_a AS trigger_product, support, confidence, lift, score,
-        coalesce(qty, 1) AS recommended_qty FROM best b LEFT JOIN qty q ON q.customer_id = b.customer_id AND q.product_id = product_a WHERE k = 1""",
+    "assoc": f"""SELECT b.customer_id, product_b AS recommended_product, cluster_id, segment, l2_category, l3_category, product_a AS trigger_product, support, confidence, lift, score,
+        coalesce(qty, 1) AS recommended_qty, product_a || ' → ' || product_b || ' (support=' || {_text('support', 3)} || ', confidence=' || {_text('confidence', 3)} || ', lift=' || {_text('lift', 2)} || ')' AS reason FROM best b LEFT JOIN qty q ON q.customer_id = b.customer_id AND q.product_id = product_a WHERE k = 1""",
 }
 
 
 def _fallback(have: str) -> str:
     """Fallback rows for customers with fewer than five rows in `have`, in full: all products of the segment."""
     return f"""SELECT customer_id, product_id AS recommended_product, cluster_id, segment, l2_category, l3_category, 'fallback' AS trigger_product, 0::DOUBLE AS support, 0::DOUBLE AS confidence,
-        0::DOUBLE AS lift, 0.1::DOUBLE + aff AS score, 1::BIGINT AS recommended_qty FROM (
+        0::DOUBLE AS lift, 0.1::DOUBLE + aff AS score, 1::BIGINT AS recommended_qty, 'Category-affinity fallback: ' || l2_category || ' affinity=' || {_text('aff', 2)} AS reason FROM (
           SELECT c.customer_id, p.product_id, c.cluster_id, c.segment, k.l2_category, k.l3_category, coalesce(l2_affinity, 0) AS aff, coalesce(h.n, 0) AS have,
                  row_number() OVER (PARTITION BY c.customer_id ORDER BY round(coalesce(l2_affinity, 0), 9) DESC, popularity DESC, p.product_id) AS place
           FROM clusters c JOIN popular p ON p.segment = c.segment JOIN cats k ON k.product_id = p.product_id LEFT JOIN l2 ON l2.customer_id = c.customer_id AND l2.l2_category = k.l2_category
@@ -120,19 +126,38 @@ STEPS |= {
     + " UNION ALL SELECT segment, customer_id, unnest(['rfm_recency_score', 'rfm_frequency_score', 'rfm_monetary_score']), unnest([rfm_recency_score, rfm_frequency_score, rfm_monetary_score]) FROM (SELECT DISTINCT segment, customer_id FROM slim) JOIN scores USING (customer_id))",
     "people": "SELECT DISTINCT segment, customer_id FROM slim",
     "dense": "SELECT p.segment, p.customer_id, f.feature, coalesce(m.value, 0) AS value FROM people p JOIN (SELECT DISTINCT segment, feature FROM matrix) f ON f.segment = p.segment LEFT JOIN matrix m ON m.customer_id = p.customer_id AND m.feature = f.feature",
+    "f0": "SELECT * FROM slim WHERE functionality = 'F0'",
+    "shares": "SELECT segment, customer_id, 'func_' || functionality AS feature, sum(total_quantity) / sum(sum(total_quantity)) OVER (PARTITION BY customer_id) AS value FROM f0 GROUP BY segment, customer_id, functionality"
+    " UNION ALL SELECT segment, customer_id, 'l2_' || l2_category, sum(total_quantity) / sum(sum(total_quantity)) OVER (PARTITION BY customer_id) FROM f0 GROUP BY segment, customer_id, l2_category",
+    "unvaried": """SELECT p.segment, f.feature FROM (SELECT DISTINCT segment, customer_id FROM f0) p JOIN (SELECT DISTINCT segment, feature FROM shares) f ON f.segment = p.segment
+        LEFT JOIN shares s ON s.customer_id = p.customer_id AND s.feature = f.feature GROUP BY ALL HAVING count(*) > 1 AND stddev_samp(coalesce(value, 0)) < 1e-12""",
     "stats": "SELECT segment, feature, avg(value) AS mean, stddev_pop(value) AS std, count(*) AS n FROM dense GROUP BY ALL",
     "zed": "SELECT d.segment, d.customer_id, d.feature, (value - mean) / CASE WHEN std = 0 THEN 1 ELSE std END AS z FROM dense d JOIN stats s ON s.segment = d.segment AND s.feature = d.feature WHERE n <= 1 OR std > 1e-12",
     "centre": "SELECT z.segment, customer_id::BIGINT % 3 AS label, feature, avg(z) AS c FROM zed z GROUP BY ALL",
     "distance": "SELECT z.segment, z.customer_id, label, round(sum((z - c) * (z - c)), 9) AS d FROM zed z JOIN centre c ON c.segment = z.segment AND c.feature = z.feature GROUP BY ALL",
-    "enriched": """SELECT r.*, p.brand AS recommended_brand, p.l2_category AS recommended_category, p.product_price, t.brand AS trigger_brand, t.l2_category AS trigger_category, c.customer_name, c.region, c.end_use,
+    "enriched": """SELECT r.*, p.brand AS recommended_brand, p.l2_category AS recommended_category, p.product_price, t.brand AS trigger_brand, t.l2_category AS trigger_category, c.customer_name, c.region, c.end_use, c.customer_type,
         round_even(confidence * 100, 0)::INT || '%' AS confidence_text FROM recs r LEFT JOIN products p ON p.product_id = recommended_product LEFT JOIN products t ON t.product_id = trigger_product
         LEFT JOIN customers c ON c.customer_id = r.customer_id""",
+    "assigned": "SELECT segment, customer_id, arg_min(label, (d, label)) AS label FROM distance GROUP BY ALL",
+    "picked": "SELECT DISTINCT customer_id FROM recs ORDER BY md5('42:' || customer_id), customer_id LIMIT 10",
+    "totals_l2": """SELECT * FROM (SELECT customer_id, l2_category, sum(total_quantity) AS total_quantity, sum(purchase_frequency)::BIGINT AS purchase_frequency,
+        row_number() OVER (PARTITION BY customer_id ORDER BY sum(total_quantity) DESC, l2_category) AS place FROM slim GROUP BY 1, 2) WHERE place <= 5""",
+    "best_bought": """SELECT * FROM (SELECT customer_id, product_id, l2_category, l3_category, total_quantity, row_number() OVER (PARTITION BY customer_id ORDER BY total_quantity DESC, product_id) AS place FROM slim) WHERE place <= 5""",
+    "profiles": """SELECT customer_id, min(customer_name) AS customer_name, min(region) AS region, min(end_use) AS end_use, min(customer_type) AS customer_type, min(segment) AS segment, min(cluster_id) AS cluster_id,
+        count(*) AS n_recommendations FROM enriched GROUP BY 1""",
+    "matches": f"""SELECT customer_id, end_use, array_to_string(got, ',') AS recommended, array_to_string(list_filter(got, lambda x: list_contains(want, x)), ',') AS matched,
+        len(list_filter(got, lambda x: list_contains(want, x))) > 0 AS categories_match FROM (
+          SELECT customer_id, end_use, list_sort(list(DISTINCT recommended_category)) AS got, CASE end_use {_EXPECTED} ELSE [] END AS want FROM enriched GROUP BY 1, 2)""",
+    "report": """SELECT customer_id, customer_name AS customer, region AS location, end_use AS business_type, rank, recommended_product, recommended_brand AS brand, recommended_category AS category,
+        '$' || printf('%.2f', product_price) AS price, recommended_qty AS suggested_qty, confidence_text AS confidence, reason AS why FROM enriched""",
+    "asked": """SELECT c.customer_id, c_custkey % 7 AS kind, 0 AS item_no, segment FROM customers c LEFT JOIN people p ON p.customer_id = c.customer_id
+        UNION ALL SELECT customer_id, 99, 1, NULL FROM customers WHERE c_custkey % 7 IN (0, 1)""",
     "quality": """SELECT *, CASE WHEN avg_score >= 0.4::DOUBLE THEN 'High' WHEN avg_score >= 0.3::DOUBLE THEN 'Medium' ELSE 'Low' END AS quality,
         CASE WHEN avg_confidence >= 0.5::DOUBLE THEN 'High' WHEN avg_confidence >= 0.3::DOUBLE THEN 'Medium' ELSE 'Low' END AS confidence_tier
         FROM (SELECT customer_id, round(avg(score), 6) AS avg_score, round(max(score), 6) AS max_score, round(min(score), 6) AS min_score, round(avg(confidence), 6) AS avg_confidence FROM recs GROUP BY 1)""",
 }
 _HEAD = "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in STEPS.items()) + "\n"
-_RECS = "customer_id, recommended_product, cluster_id, segment, l2_category, l3_category, trigger_product, round(support, 6) AS support, round(confidence, 6) AS confidence, round(lift, 6) AS lift, round(score, 6) AS score, recommended_qty"
+_RECS = "customer_id, recommended_product, cluster_id, segment, l2_category, l3_category, trigger_product, round(support, 6) AS support, round(confidence, 6) AS confidence, round(lift, 6) AS lift, round(score, 6) AS score, recommended_qty, reason"
 _SHARE = "SELECT segment, customer_id, '{prefix}' || {column} AS feature, round(coalesce(sum(total_quantity) / nullif(sum(sum(total_quantity)) OVER (PARTITION BY customer_id), 0), 0), 9) AS value FROM slim GROUP BY segment, customer_id, {column}"
 
 FINAL = {
@@ -141,7 +166,7 @@ FINAL = {
     "basket_recency": "SELECT customer_id, product_id, purchase_frequency, recency_days FROM slim",
     "unmatched_audit": """SELECT count(*) AS n_rows, count(*) FILTER (p.product_id IS NULL) AS no_product, count(*) FILTER (c.customer_id IS NULL) AS no_customer
         FROM scoped s LEFT JOIN products p USING (product_id) LEFT JOIN customers c ON c.customer_id = s.customer_id""",
-    "min_order_filter": "SELECT customer_id, count(*) AS n_rows, count(DISTINCT invoice_date) AS n_dates FROM lines GROUP BY 1 HAVING n_dates >= 10",
+    "min_order_filter": "SELECT customer_id, count(*) AS n_rows, count(DISTINCT invoice_date) AS n_dates FROM lines GROUP BY 1 HAVING n_dates >= 4",
     "basket_summary": "SELECT count(*) AS n_rows, count(DISTINCT customer_id) AS n_customers, count(DISTINCT product_id) AS n_products, count(DISTINCT segment) AS n_segments, min(recency_days) AS min_recency, max(recency_days) AS max_recency FROM slim",
     "rfm": "SELECT customer_id, rfm_recency, rfm_frequency, round(rfm_monetary, 6) AS rfm_monetary FROM rfm",
     "rfm_scores": "SELECT customer_id, rfm_recency, rfm_frequency, round(rfm_monetary, 6) AS rfm_monetary, round(rfm_recency_score, 6) AS rfm_recency_score, round(rfm_frequency_score, 6) AS rfm_frequency_score, round(rfm_monetary_score, 6) AS rfm_monetary_score FROM scores",
@@ -153,7 +178,7 @@ FINAL = {
     "session_decay": "SELECT customer_id, basket_id, basket_date, round(weight, 6) AS weight FROM decayed",
     "session_window_native": """SELECT customer_id, min(invoice_date) AS first_date, max(invoice_date) AS basket_date, count(*) AS n_rows FROM (
           SELECT *, sum(f) OVER (PARTITION BY customer_id ORDER BY invoice_date) AS s FROM (
-            SELECT *, (coalesce(invoice_date - lag(invoice_date) OVER (PARTITION BY customer_id ORDER BY invoice_date) > 7, true))::INT AS f FROM invoices)) GROUP BY customer_id, s""",
+            SELECT *, (coalesce(invoice_date - lag(invoice_date) OVER (PARTITION BY customer_id ORDER BY invoice_date) > window_days, true))::INT AS f FROM invoices, win)) GROUP BY customer_id, s""",
     "product_basket_freq": "SELECT * FROM freq",
     "cluster_totals": "SELECT segment, cluster_id, total_baskets FROM totals",
     "min_freq": "SELECT segment, cluster_id, min_freq FROM totals",
@@ -190,24 +215,36 @@ FINAL = {
     "proportions_brand": _SHARE.format(prefix="brand_", column="brand"),
     "proportions_func": _SHARE.format(prefix="func_", column="functionality"),
     "feature_matrix_long": "SELECT segment, customer_id, feature, round(value, 9) AS value FROM matrix",
-    "zero_variance": "SELECT segment, feature FROM stats WHERE n > 1 AND std <= 1e-12 UNION ALL SELECT segment, 'constant' FROM people GROUP BY 1 HAVING count(*) > 1",
+    "zero_variance": "SELECT segment, feature FROM unvaried",
     "scaled_features": "SELECT z.segment, z.customer_id, z.feature, round(z, 9) AS value FROM zed z JOIN matrix m ON m.customer_id = z.customer_id AND m.feature = z.feature",
     "legacy_k": "SELECT segment, count(DISTINCT customer_id) AS n_customers, CASE WHEN count(DISTINCT customer_id) < 6 THEN 1 ELSE least(4, floor(sqrt(count(DISTINCT customer_id)))) END::BIGINT AS k FROM slim GROUP BY 1",
-    "nearest_centroid": "SELECT segment, customer_id, arg_min(label, (d, label)) AS label FROM distance GROUP BY ALL",
+    "nearest_centroid": "SELECT * FROM assigned",
     "serve_lookup": """SELECT c.customer_id, CASE WHEN r.n > 0 THEN 'precomputed' END AS source, CASE WHEN r.n IS NULL THEN 'segment is required for a customer without recommendations' END AS error,
         r.cluster_id, coalesce(r.n, 0)::BIGINT AS n_recommendations FROM (SELECT customer_id FROM customers UNION ALL SELECT 'x' || customer_id FROM customers) c
         LEFT JOIN (SELECT customer_id, any_value(cluster_id) AS cluster_id, count(*) AS n FROM recs GROUP BY 1) r ON r.customer_id = c.customer_id""",
     "recommendation_checks": """SELECT unnest(['not_empty', 'rank_range', 'thresholds', 'at_most_top_k', 'rank_dense', 'duplicates', 'already_bought', 'segment_isolation']) AS "check", 0::BIGINT AS violations""",
     "enrich_recs": "SELECT customer_id, recommended_product, recommended_brand, recommended_category, trigger_brand, trigger_category, customer_name, region, end_use, confidence_text FROM enriched",
-    "category_totals": """SELECT * FROM (SELECT customer_id, l2_category, sum(total_quantity) AS total_quantity, sum(purchase_frequency)::BIGINT AS purchase_frequency,
-        row_number() OVER (PARTITION BY customer_id ORDER BY sum(total_quantity) DESC, l2_category) AS place FROM slim GROUP BY 1, 2) WHERE place <= 5""",
-    "category_match": f"""SELECT customer_id, end_use, array_to_string(got, ',') AS recommended, array_to_string(list_filter(got, lambda x: list_contains(want, x)), ',') AS matched,
-        len(list_filter(got, lambda x: list_contains(want, x))) > 0 AS categories_match FROM (
-          SELECT customer_id, end_use, list_sort(list(DISTINCT recommended_category)) AS got, CASE end_use {_EXPECTED} ELSE [] END AS want FROM enriched GROUP BY 1, 2)""",
+    "category_totals": "SELECT * FROM totals_l2",
+    "category_match": "SELECT * FROM matches",
+    "customer_profiles": "SELECT * FROM profiles",
+    "top_products": "SELECT * FROM best_bought",
+    "sample_analysis": """SELECT p.*, m.* EXCLUDE (customer_id, end_use), q.* EXCLUDE (customer_id),
+        (SELECT string_agg(l2_category || ': ' || total_quantity::BIGINT || ' units (' || purchase_frequency || ' purchases)', '; ' ORDER BY place) FROM totals_l2 t WHERE t.customer_id = p.customer_id) AS bought_categories,
+        (SELECT string_agg(product_id || ': ' || total_quantity::BIGINT || ' units', '; ' ORDER BY place) FROM best_bought t WHERE t.customer_id = p.customer_id) AS bought_products
+        FROM profiles p JOIN picked USING (customer_id) JOIN matches m USING (customer_id) JOIN quality q USING (customer_id)""",
+    "report_preview": "SELECT * EXCLUDE (customer_id) FROM report WHERE customer_id IN (SELECT customer_id FROM picked) ORDER BY customer, rank, recommended_product LIMIT 10",
+    "registry_cycle": "SELECT segment, customer_id, arg_min((label + 1) % 3, (d, (label + 1) % 3)) AS label, 2::BIGINT AS version FROM distance GROUP BY ALL",
+    "serve_requests": """SELECT q.customer_id AS request, item_no::BIGINT AS item_no,
+        CASE WHEN kind = 0 AND r.n > 0 THEN 'precomputed' WHEN kind = 1 AND q.segment IS NOT NULL THEN 'realtime_assignment' END AS source,
+        CASE WHEN kind IN (5, 6, 99) THEN 'customer_id is required' WHEN kind = 0 AND r.n > 0 OR kind = 1 AND q.segment IS NOT NULL THEN NULL
+          WHEN kind IN (0, 1, 2) OR kind = 3 AND q.segment IS NULL THEN 'segment is required for a customer without recommendations'
+          WHEN kind = 3 OR q.segment IS NULL THEN 'purchase_vector is required for a customer without recommendations' ELSE 'no model for segment nowhere' END AS error,
+        CASE WHEN kind = 0 THEN r.cluster_id WHEN kind = 1 THEN q.segment || '_' || a.label END AS cluster_id, CASE WHEN kind = 0 THEN coalesce(r.n, 0) ELSE 0 END::BIGINT AS n_recommendations
+        FROM asked q LEFT JOIN assigned a ON a.customer_id = q.customer_id
+        LEFT JOIN (SELECT customer_id, any_value(cluster_id) AS cluster_id, count(*) AS n FROM recs GROUP BY 1) r ON r.customer_id = q.customer_id""",
     "customer_quality": "SELECT * FROM quality",
     "quality_distribution": "SELECT quality, count(*) AS n, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM quality), 2) AS percent FROM quality GROUP BY 1",
-    "sales_report": """SELECT customer_name AS customer, region AS location, end_use AS business_type, rank, recommended_product, recommended_brand AS brand, recommended_category AS category,
-        '$' || printf('%.2f', product_price) AS price, recommended_qty AS suggested_qty, confidence_text AS confidence FROM enriched""",
+    "sales_report": "SELECT * EXCLUDE (customer_id) FROM report",
     "group_size_describe": """SELECT count(*) AS count, round(avg(n), 6) AS mean, round(stddev_samp(n), 6) AS std, min(n) AS min, quantile_cont(n, 0.25) AS q25, quantile_cont(n, 0.5) AS q50, quantile_cont(n, 0.75) AS q75, max(n) AS max
         FROM (SELECT count(*)::DOUBLE AS n FROM slim GROUP BY customer_id)""",
     "coverage": """SELECT (SELECT count(DISTINCT customer_id) FROM slim) AS n_customers, count(DISTINCT customer_id) AS n_covered, round(avg(support) FILTER (trigger_product <> 'fallback'), 6) AS avg_support,

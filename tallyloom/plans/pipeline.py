@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import EngineConfig
-from ..operators import basket, cluster, feedback, rank, rules, validate
+from ..operators import basket, cluster, feedback, rank, rules, serve, validate
 from ..sources import canonical, files
 
 
@@ -43,19 +44,33 @@ class Engine:
 
     def run(self, customers: DataFrame, products: DataFrame, invoices: DataFrame, given: DataFrame | None = None, version: int = 1, created: str = "1970-01-01") -> Result:
         c = self.config
+        scoped = files.require_rows(basket.recency_scope(invoices, c), "no purchases within the recency cutoff")
+        lines = basket.enriched_lines(scoped, products, customers, c)
+        if c.min_order_count > 1:
+            files.require_rows(basket.with_min_orders(lines, c), "no customer has orders enough")
         market = self._stage("market_basket", basket.build_market_basket(invoices, products, customers, c))
-        if market.isEmpty():
-            raise ValueError("no purchases within the recency cutoff")
+        files.require_rows(market, "the market basket is empty")
         fitted = self._stage("fitted", cluster.fit_clusters(market, c))
-        clusters = self._stage("customer_clusters", cluster.customer_clusters(fitted))
+        clusters = self._stage("customer_clusters", files.require_rows(cluster.customer_clusters(fitted), "no customer was clustered"))
         models = self._stage("models", cluster.model_table(fitted))
-        self._stage("registry", cluster.model_registry(fitted, version, c.model_approval_status, created))
+        cluster.register(models, cluster.model_registry(fitted, version, c.model_approval_status, created), f"{self.workspace}/packages")
         mined = self._stage("associations", rules.mine(invoices, clusters, c))
         if not rules.impossible_rules(mined).isEmpty():
             raise ValueError("rules break an invariant")
         recs = self._stage("recommendations", rank.rank_recommendations(market, clusters, mined, c))
         final = self._stage("final", feedback.calibrate(recs, given, c))
+        if given is not None:
+            files.write_json(feedback.summary(given, recs, c, created), f"{self.workspace}/feedback_summary")
         return Result(market, clusters, models, mined, recs, final)
 
+    def publish(self, result: Result) -> int:
+        """Rules and final recommendations as sorted CSV; an empty list of recommendations is refused."""
+        files.write_csv(result.rules.orderBy("segment", "cluster_id", F.desc("lift"), "product_a", "product_b"), f"{self.workspace}/out/associations")
+        return files.publish(result.final, f"{self.workspace}/out/recommendations", "customer_id", "rank")
+
+    def serve(self, bodies: DataFrame, result: Result) -> DataFrame:
+        """Answers to requests by the stored recommendations and the newest approved models."""
+        return serve.render(serve.answer(serve.parse(bodies), result.final, cluster.load_models(self.spark, f"{self.workspace}/packages")))
+
     def checks(self, result: Result) -> DataFrame:
         return validate.invariants(result.recommendations, result.basket, self.config)

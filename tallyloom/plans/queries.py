@@ -17,13 +17,13 @@ from ..operators import rules as R
 from ..operators import serve as V
 from ..operators import sessions as S
 from ..operators import validate as A
-from ..sources.files import stage
+from ..sources.files import new_folder, stage
 from ..sources.star import load, surrogate_clusters
 
 CONFIG = EngineConfig()
-MIN_ORDERS = EngineConfig(min_order_count=10)
+MIN_ORDERS = EngineConfig(min_order_count=4)
 LEGACY = EngineConfig(n_init=10)  #: the older clustering starts each k-means ten times
-STAGED = ("slim", "basket", "items", "rules", "assoc", "recs", "matrix")
+STAGED = ("slim", "basket", "items", "rules", "assoc", "recs", "matrix", "models")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -55,6 +55,7 @@ class Tables:
     calibrated = property(lambda self: self._get("calibrated", lambda: D.calibrate(self.recs, self.c.feedback, CONFIG)))
     matrix = property(lambda self: self._get("matrix", lambda: X.feature_matrix(self.basket, CONFIG)))
     enriched = property(lambda self: self._get("enriched", lambda: A.enrich(self.recs, self.c.products, self.c.customers)))
+    models = property(lambda self: self._get("models", lambda: centroids(self)))
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
@@ -70,10 +71,16 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def session_windows(t: Tables) -> DataFrame:
-    """Sessions by Spark's own window, with a gap just short of window_days + 1."""
-    rows = t.c.invoices.select("customer_id", F.col("invoice_date").cast("timestamp").alias("ts"))
-    window = F.session_window("ts", "7 days 23 hours 59 minutes 59 seconds 999 milliseconds 999 microseconds")
-    return rows.groupBy("customer_id", window.alias("w")).agg(F.to_date(F.min("ts")).alias("first_date"), F.to_date(F.max("ts")).alias("basket_date"), F.count("*").alias("n_rows")).drop("w")
+    """Sessions by Spark's own window, with a gap just short of the basket window and a day."""
+    rows = t.c.invoices.select("customer_id", F.col("invoice_date").cast("timestamp").alias("ts")).crossJoin(F.broadcast(S.basket_window(t.c.invoices, CONFIG)))  # one row
+    gap = F.concat(F.col("window_days").cast("string"), F.lit(" days 23 hours 59 minutes 59 seconds 999 milliseconds 999 microseconds"))
+    return rows.groupBy("customer_id", F.session_window("ts", gap).alias("w")).agg(F.to_date(F.min("ts")).alias("first_date"), F.to_date(F.max("ts")).alias("basket_date"), F.count("*").alias("n_rows")).drop("w")
+
+
+def unvaried(t: Tables) -> DataFrame:
+    """Features without variance among the buyers of one functionality: its own share is 1 for all of them."""
+    one = t.slim.filter(F.col("functionality") == "F0")
+    return X.zero_variance(X.feature_stats(X.proportions(one, "functionality", "func_").unionByName(X.proportions(one, "l2_category", "l2_"))))
 
 
 def centroids(t: Tables) -> DataFrame:
@@ -85,9 +92,37 @@ def centroids(t: Tables) -> DataFrame:
     return mean.groupBy("segment", "label").agg(F.first("features").alias("features"), F.first("mean").alias("mean"), F.first("std").alias("std"), F.transform(F.array_sort(F.collect_list(F.struct("i", "z"))), lambda x: x["z"]).alias("centroid"))
 
 
+def purchase_vectors(t: Tables) -> DataFrame:
+    return t.matrix.groupBy("segment", "customer_id").agg(F.map_from_entries(F.collect_list(F.struct("feature", "value"))).alias("purchase_vector"))
+
+
 def nearest(t: Tables) -> DataFrame:
-    vector = t.matrix.groupBy("segment", "customer_id").agg(F.map_from_entries(F.collect_list(F.struct("feature", "value"))).alias("purchase_vector"))
-    return C.nearest_centroid(vector, centroids(t)).select("customer_id", "segment", F.col("label").cast("long").alias("label"))
+    return C.nearest_centroid(purchase_vectors(t), t.models).select("customer_id", "segment", F.col("label").cast("long").alias("label"))
+
+
+def registry_cycle(t: Tables) -> DataFrame:
+    """Three versions are registered, the newest of which is rejected; customers are assigned by what is loaded again."""
+    folder = new_folder(t.spark, "registry")
+    segments = t.slim.groupBy("segment").agg(F.count_distinct("customer_id").alias("n_customers"))
+    for version, status, created in ((1, "Approved", "2024-01-01"), (2, "Approved", "2024-02-01"), (3, "Rejected", "2024-03-01")):
+        entry = segments.select("segment", "n_customers", F.lit(version).alias("version"), F.lit(status).alias("status"), F.lit(created).cast("timestamp_ntz").alias("created_at"))
+        C.register(t.models.withColumn("label", (F.col("label") + version - 1) % 3), entry, folder)
+    version = C.latest_approved(C.load_registry(t.spark, folder))
+    out = C.nearest_centroid(purchase_vectors(t), C.load_models(t.spark, folder))
+    return out.crossJoin(F.broadcast(version)).select("customer_id", "segment", "label", "version")  # one row
+
+
+def serve_requests(t: Tables) -> DataFrame:
+    """JSON requests of seven kinds, some in batches, answered from stored recommendations or on the spot; failures stay with their item."""
+    who = t.c.customers.select("customer_id").join(purchase_vectors(t), "customer_id", "left").withColumn("kind", (F.col("customer_id").cast("long") % 7).cast("int"))
+    kind, stranger = F.col("kind"), F.concat(F.lit("x"), "customer_id")
+    ident = F.when(kind == 0, F.col("customer_id")).when(kind == 5, "").otherwise(stranger)
+    segment = F.when(kind.isin(1, 3), F.col("segment")).when(kind == 4, "nowhere")
+    vector = F.when(kind.isin(1, 2, 4), F.col("purchase_vector"))
+    one = F.to_json(F.struct(ident.alias("customer_id"), segment.alias("segment"), vector.alias("purchase_vector")))
+    body = F.when(kind == 6, "{junk").when(kind.isin(0, 1), F.concat(F.lit('{"instances":['), one, F.lit(',{"customer_id":" "}]}'))).otherwise(one)
+    out = V.answer(V.parse(who.select(F.col("customer_id").alias("request_no"), body.alias("body"))), t.recs, t.models)
+    return out.select(F.col("request_no").alias("request"), F.col("item_no").cast("long").alias("item_no"), "source", "error", "cluster_id", F.coalesce(F.size("recommendations"), F.lit(0)).cast("long").alias("n_recommendations"))
 
 
 def serve_lookup(t: Tables) -> DataFrame:
@@ -104,11 +139,16 @@ def fitted(t: Tables) -> DataFrame:
     return C.fit_clusters(t.basket, CONFIG)
 
 
+def fitted_rules(t: Tables) -> DataFrame:
+    """Rules inside the clusters that k-means finds, not the surrogate ones."""
+    return R.mine(t.c.invoices, stage(C.customer_clusters(fitted(t)), "clusters"), CONFIG)
+
+
 def legacy_k(t: Tables) -> DataFrame:
     return t.slim.groupBy("segment").agg(F.count_distinct("customer_id").alias("n_customers")).withColumn("k", C.sqrt_k(F.col("n_customers")))
 
 
-RECS = ["customer_id", "recommended_product", "cluster_id", "segment", "l2_category", "l3_category", "trigger_product", "support", "confidence", "lift", "score", "recommended_qty", "rank"]
+RECS = ["customer_id", "recommended_product", "cluster_id", "segment", "l2_category", "l3_category", "trigger_product", "support", "confidence", "lift", "score", "recommended_qty", "reason", "rank"]
 BY_NAME: dict[str, Callable[[Tables], DataFrame]] = {
     "market_basket": lambda t: t.basket,
     "basket_recency": lambda t: t.slim.select("customer_id", "product_id", "purchase_frequency", "recency_days"),
@@ -158,14 +198,17 @@ BY_NAME: dict[str, Callable[[Tables], DataFrame]] = {
     "proportions_brand": lambda t: X.proportions(t.slim, "brand", "brand_"),
     "proportions_func": lambda t: X.proportions(t.slim, "functionality", "func_"),
     "feature_matrix_long": lambda t: t.matrix,
-    "zero_variance": lambda t: X.zero_variance(X.feature_stats(t.matrix.unionByName(t.slim.select("segment", "customer_id", F.lit("constant").alias("feature"), F.lit(1.0).alias("value")).distinct()))),
+    "zero_variance": unvaried,
     "scaled_features": lambda t: X.scaled_features(t.matrix),
     "legacy_k": legacy_k,
     "kmeans_clusters": lambda t: C.customer_clusters(fitted(t)),
     "cluster_diagnostics": lambda t: C.diagnostics(fitted(t)),
     "model_registry": lambda t: C.model_registry(fitted(t), 1, "Approved", "2024-01-01").drop("feature_cols"),
     "legacy_clusters": lambda t: C.customer_clusters(C.fit_clusters(t.basket, LEGACY, "raw_l2", "sqrt")),
+    "fitted_rules": fitted_rules,
     "nearest_centroid": nearest,
+    "registry_cycle": registry_cycle,
+    "serve_requests": serve_requests,
     "serve_lookup": serve_lookup,
     "recommendation_checks": lambda t: A.invariants(t.recs, t.slim, CONFIG),
     "enrich_recs": lambda t: t.enriched.select("customer_id", "recommended_product", "recommended_brand", "recommended_category", "trigger_brand", "trigger_category", "customer_name", "region", "end_use", "confidence_text"),
@@ -173,8 +216,11 @@ BY_NAME: dict[str, Callable[[Tables], DataFrame]] = {
     "category_match": lambda t: A.category_match(t.enriched),
     "customer_quality": lambda t: A.customer_quality(t.recs),
     "quality_distribution": lambda t: A.quality_distribution(A.customer_quality(t.recs)),
-    "sample_analysis": lambda t: A.sample_analysis(t.enriched).select("customer_id", "customer_name", "segment", "cluster", "avg_score", "quality", "categories_match"),
-    "sales_report": lambda t: A.sales_report(t.enriched, None).drop("why"),
+    "customer_profiles": lambda t: A.customer_profiles(t.enriched),
+    "top_products": lambda t: A.top_products(t.slim),
+    "sample_analysis": lambda t: A.sample_analysis(t.enriched, t.slim),
+    "sales_report": lambda t: A.sales_report(t.enriched, None),
+    "report_preview": lambda t: A.preview(A.sales_report(t.enriched, 10)),
     "group_size_describe": lambda t: A.describe_group_sizes(t.slim, "customer_id"),
     "coverage": lambda t: A.coverage(t.recs, t.slim),
 }
@@ -185,7 +231,7 @@ SHARES = {"proportions_l2", "proportions_brand", "proportions_func", "feature_ma
 
 
 def finished(name: str, t: Tables) -> DataFrame:
-    return rounded(plain(BY_NAME[name](t).drop("reason")), 9 if name in SHARES else 6)
+    return rounded(plain(BY_NAME[name](t)), 9 if name in SHARES else 6)
 
 
 def _query(name: str) -> Query:

@@ -54,31 +54,47 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 
 
+def require_rows(df: DataFrame, what: str) -> DataFrame:
+    """df, or an error where it has no rows."""
+    if df.isEmpty():
+        raise ValueError(what)
+    return df
+
+
 def publish(df: DataFrame, path: str, *order: str) -> int:
     """Write rows as CSV, sorted, and refuse an empty result; returns their number."""
     n = df.count()
     if not n:
         raise ValueError("nothing to publish")
-    (df.orderBy(*order) if order else df).write.mode("overwrite").csv(path, header=True)
+    write_csv(df.orderBy(*order) if order else df, path)
     return n
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """One JSON document a row."""
-    df.write.mode("overwrite").json(path)
+    """A column of JSON documents, one a line; other tables as one JSON document a row."""
+    if df.dtypes == [(df.columns[0], "string")]:
+        df.write.mode("overwrite").text(path)
+    else:
+        df.write.mode("overwrite").json(path)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a folder of our own where it is unset, as in tests."""
+    """spark.checkpoint.dir, or a folder of our own where it is unset in local mode, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="tallyloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/tallyloom-stages/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read back: later steps start from it, whatever executors are lost."""
-    path = f"{shared_folder(df.sparkSession)}/tallyloom-stages/{name}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -52,13 +52,13 @@ def load(spark: SparkSession, sf_dir: str) -> Canonical:
         F.col("o_orderdate").alias("invoice_date"),
         (F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0.0))).alias("unit_price"),
     )
-    # The catalogue of brands and types is small by construction, so it may be numbered in one task.
+    # The catalogue of brands and types is small by construction, so it may be numbered in one task; Spark decides how to join it.
     numbered = products.select("product_id").withColumn("k", (F.row_number().over(Window.orderBy("product_id")) - 1).cast("long"))
     size = products.agg(F.count("*").alias("n_products"))
     kind = F.col("event_type")
     events = t("events").join(F.broadcast(size)).withColumn("k", F.col("event_id") % F.col("n_products"))
     codes = F.array(*[F.lit(r) for r in REASONS])
-    feedback = events.join(F.broadcast(numbered), "k").select(
+    feedback = events.join(numbered, "k").select(
         F.col("user_id").cast("string").alias("customer_id"),
         "product_id",
         F.when(kind == "purchase", "High").when(kind.isin("click", "view"), "Medium").when(kind == "error", "Low").otherwise("unknown").alias("rating"),
