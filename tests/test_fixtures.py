@@ -57,6 +57,19 @@ def test_price_bands(spark, prices, want):
     assert [got[str(i)] for i in range(len(prices))] == want
 
 
+@pytest.mark.parametrize("buckets", [4096, 3])
+def test_thirds_are_exact(spark, monkeypatch, buckets):
+    """Against sorting: ties, one value, negative ones, and groups of very uneven spread."""
+    monkeypatch.setattr(basket, "BUCKETS", buckets)
+    rng = np.random.default_rng(0)
+    groups = {"ties": rng.integers(0, 5, 101), "one": [7.0], "same": [2.0] * 9, "wide": np.exp(rng.normal(0, 6, 400)), "below": -rng.random(50), "two": [1.0, 2.0]}
+    rows = spark.createDataFrame([(g, float(x)) for g, xs in groups.items() for x in xs], "g string, x double")
+    got = {r.g: r for r in basket.thirds(rows, ["g"], "x").collect()}
+    for g, xs in groups.items():
+        xs = np.array(xs, float)
+        assert np.allclose([got[g].q1, got[g].q2], np.quantile(xs, [1 / 3, 2 / 3]), rtol=1e-12) and (got[g].lo, got[g].hi, got[g].n) == (xs.min(), xs.max(), len(set(xs)))
+
+
 def test_cutoff_is_inclusive(spark):
     rows = invoices(spark, [("c", "p", 0, 1, 1), ("c", "p", -730, 1, 1), ("c", "p", -731, 1, 1)])
     assert basket.recency_scope(rows, CONFIG).count() == 2

@@ -1,5 +1,10 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import pathlib
+import shutil
+import subprocess
+import sys
+
 import pytest
 from conftest import SMALL, same
 
@@ -41,3 +46,15 @@ def test_entry(spark):
 
     assert not __spark_entry__.entry(spark).isEmpty()
     assert {"market_basket", "recommendations"} <= set(__spark_entry__.queries())
+
+
+@pytest.mark.parametrize(("broken", "fine"), [(None, True), ("import a_package_that_is_not_there", False)])
+def test_entry_without_the_text_operators(tmp_path, broken, fine):
+    """Absent text operators are left out; one that can't be imported for another reason is an error."""
+    root = pathlib.Path(__file__).resolve().parent.parent
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    shutil.copytree(root / "tallyloom", tmp_path / "tallyloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    if broken:
+        (tmp_path / "corpus_pipeline.py").write_text(broken)
+    code = "import __spark_entry__ as e; assert e.queries() and not [q for q in e.queries() if q.startswith('op')]"
+    assert (subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, capture_output=True).returncode == 0) is fine
