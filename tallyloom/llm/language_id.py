@@ -33,11 +33,13 @@ PART = 50_000  #: words of a text that are scored at once
 LEAST_SCORE = 0.4  #: below it a filter rejects
 
 
+_RUN = re.compile(r"[^\W\d_]+")
+
+
 @functools.cache
-def _word() -> re.Pattern:
-    """Runs of letters: \\w without digits of any kind, and without other characters that only count as numbers, such as fractions."""
-    numbers = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-    return re.compile(f"[^\\W\\d_{numbers}]+")
+def _numbers() -> dict[int, str]:
+    """Characters that only count as numbers, such as fractions, to spaces; digits of any script are none of them."""
+    return {i: " " for i, c in enumerate(map(chr, range(sys.maxunicode + 1))) if c.isalnum() and not c.isalpha() and not c.isdecimal()}
 
 
 class Table:
@@ -88,7 +90,10 @@ class Model:
 
 
 def tokens(text: str) -> list[str]:
-    return _word().findall(text.lower())
+    """Runs of letters in lower case."""
+    if not text.isascii() and any(ord(c) in _numbers() for c in set(text)):
+        text = text.translate(_numbers())
+    return _RUN.findall(text.lower())
 
 
 def fit(counts: dict[str, dict[str, int]]) -> Model:
