@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions, shared_path
+from .common import materialize, partitions, shared_path, tidy
 from .tokens import default_vocabulary, encoder
 
 MAGIC = b"TLBITS01"
@@ -144,7 +144,7 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0, id
     # Rows that share an id, or have none, are ordered by a hash of the text, so that a hot id is dealt over several files too.
     keyed = source.withColumns({"h": F.xxhash64("text"), "s": F.spark_partition_id()})
     ordered = keyed.repartitionByRange(partitions(docs.sparkSession), "doc_id", "h", "s").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
-    return materialize(ordered.mapInArrow(encode, "file string, part long, seq long, n_docs long, n_ids long"), "ids-manifest")
+    return materialize(ordered.mapInArrow(tidy(encode), "file string, part long, seq long, n_docs long, n_ids long"), "ids-manifest")
 
 
 def read_ids(manifest: DataFrame, folder: str) -> DataFrame:
@@ -172,7 +172,7 @@ def read_ids(manifest: DataFrame, folder: str) -> DataFrame:
     # One small row a file, so the running sum over all of them is light in one task.
     order = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.select("file", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).cast("long").alias("before"))
-    return files.repartition(partitions(manifest.sparkSession)).mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.repartition(partitions(manifest.sparkSession)).mapInArrow(tidy(decode), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def pack_documents(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0, folder: str | None = None, ident: str = "doc_id", text: str = "text") -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_chunks, materialize, one_row_each
+from .common import in_chunks, materialize, one_row_each, tidy
 
 LABELLED = 6000  #: labelled documents that are trained on at most, at every size of input
 ROUNDS = 3
@@ -242,7 +242,7 @@ def _handed(features: DataFrame, model: CoTrained) -> DataFrame:
     shared = features.sparkSession.sparkContext.broadcast(model)
     pool = features.filter("y IS NULL AND NOT held_out").select("row", "doc_id", "h", "tc", "tv", "mc")
     first = F.min(F.struct((-F.col("sure")).alias("s"), "h", "row")).alias("r")
-    each = pool.mapInArrow(_surest(shared, HANDED), _PICKS).groupBy("to", "y", "key").agg(first)
+    each = pool.mapInArrow(tidy(_surest(shared, HANDED)), _PICKS).groupBy("to", "y", "key").agg(first)
     each = each.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)))
     for group in (["to", "y", "bucket"], ["to", "y"]):  # the last step gets BUCKETS * HANDED rows a group at most
         each = each.withColumn("k", F.row_number().over(Window.partitionBy(*group).orderBy("r", "key"))).filter(F.col("k") <= HANDED)
@@ -262,7 +262,7 @@ def featured(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: st
     y = materialize(y.orderBy(h, "doc_id").limit(LABELLED), "co-labels")  # at most LABELLED small rows: broadcast
     aside = F.pmod(F.xxhash64("doc_id", F.lit("aside")), F.lit(5)) == 0
     known = rows.join(F.broadcast(y), "doc_id", "left").select("doc_id", "held_out", "y", aside.alias("aside"), h.alias("h"), "text", "source", "lang", "length")
-    return materialize(known.mapInArrow(_featured, _FEATURES), "co-features")
+    return materialize(known.mapInArrow(tidy(_featured), _FEATURES), "co-features")
 
 
 def train(features: DataFrame) -> CoTrained:
@@ -274,7 +274,7 @@ def train(features: DataFrame) -> CoTrained:
         return model
     for turn in range(ROUNDS + 1):
         given, model = model.given, CoTrained()
-        got = data.repartition(1).mapInArrow(_train, "text binary, meta binary, rest binary").first()
+        got = data.repartition(1).mapInArrow(tidy(_train), "text binary, meta binary, rest binary").first()
         model.text.w, model.meta.w = np.frombuffer(got["text"], np.float32).astype(float), np.frombuffer(got["meta"], np.float32).astype(float)
         rest = np.frombuffer(got["rest"])
         model.text.b, model.meta.b, model.mix, model.alone, model.given = float(rest[0]), float(rest[1]), rest[2:5], rest[5:9].reshape(2, 2), given
@@ -311,4 +311,4 @@ def score_quality(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(v, pa.float64()) for v in got], pa.array(got[2] >= KEPT, pa.bool_())], names=["doc_id", "held_out", "text_score", "meta_score", "score", "kept"])
 
     rows = features.select("doc_id", "held_out", "tc", "tv", "mc")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, text_score double, meta_score double, score double, kept boolean")
+    return rows.mapInArrow(tidy(run), "doc_id long, held_out boolean, text_score double, meta_score double, score double, kept boolean")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -80,6 +82,43 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+MEMO = 150_000  #: words whose hashes a worker keeps
+
+
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= MEMO:
+            self.clear()
+        got = self[word] = xxhash.xxh3_64_intdigest(word)
+        return got
+
+
+#: 64-bit hashes of words, one table a worker for all operators.
+HASHES = _Hashes()
+
+
+def tidy(run):
+    """A function over batches that gives freed memory back to the system at its end, so that a worker used again stays small."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = 0
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            nonlocal read
+            for batch in batches:
+                read += batch.nbytes
+                yield batch
+
+        yield from run(counted())
+        if read > 1 << 20:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return tidied
+
+
 def in_chunks(batches: Iterator[pa.RecordBatch], text: str | int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about `most` bytes of text each, so that work arrays stay small; one long text is a slice of its own."""
     for batch in batches:
@@ -147,7 +186,7 @@ def with_text_key(docs: DataFrame, key: str, of, ident: str, text: str) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, row = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in in_chunks(batches, at):
             keys = []
             for ident, t in zip(batch.column(batch.num_columns - 1).to_pylist(), text_bytes(batch.column(at)), strict=True):
                 got = of(t)
@@ -156,4 +195,4 @@ def with_text_key(docs: DataFrame, key: str, of, ident: str, text: str) -> DataF
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(keys, pa.string())], names=batch.schema.names)
 
     keyed = docs.withColumn(key, F.col(ident).cast("long").cast("string"))
-    return keyed.mapInArrow(run, keyed.schema)
+    return keyed.mapInArrow(tidy(run), keyed.schema)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions, skewed_lookup
+from .common import materialize, partitions, skewed_lookup, tidy
 
 LOCAL_LINKS = 1 << 20  #: links that a task contracts at once, 16 bytes each
 
@@ -64,13 +64,13 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     n = partitions(links.sparkSession)
     links = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).filter("u <> v")
-    links = links.repartition(n, F.least("u", "v"), F.pmod(F.xxhash64(F.greatest("u", "v")), F.lit(64))).mapInArrow(_contract, "u long, v long")
+    links = links.repartition(n, F.least("u", "v"), F.pmod(F.xxhash64(F.greatest("u", "v")), F.lit(64))).mapInArrow(tidy(_contract), "u long, v long")
     links = materialize(links.distinct(), "links")
     state = None
     while True:
         new = links.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
         if new[0] <= LOCAL_LINKS:
-            links = materialize(links.repartition(1).mapInArrow(_contract, "u long, v long"), "components")
+            links = materialize(links.repartition(1).mapInArrow(tidy(_contract), "u long, v long"), "components")
         if new == state or new[0] <= LOCAL_LINKS:
             return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
         state = new

@@ -20,13 +20,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import fresh, in_chunks, materialize, partitions, skewed_lookup, text_bytes
+from .common import HASHES, fresh, in_chunks, materialize, partitions, skewed_lookup, text_bytes, tidy
 
 MATCH = 5  #: words of the shortest tile
 COVERAGE = 0.5  #: share of an item's words in tiles from which it leaks
 FILTER_BITS = 24  #: the seed filter has 2 ** FILTER_BITS bits, whatever the benchmark
 SHIFTS = (0, 20, 40)  #: a seed's bits start at these places of its hash
-MEMO = 400_000
 TEAM = 256  #: items of a document that are tiled together
 #: Letters and digits, lower-cased A-Z; all other ASCII divides words, and other characters are split before.
 _CLEAN = bytes(b | 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -35,17 +34,6 @@ _UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(MATCH)], np.uint64)
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO:
-            self.clear()
-        got = self[word] = xxhash.xxh3_64_intdigest(word)
-        return got
-
-
-_WORDS = _Words()
-
-
 class _Splits(dict):
     """Code point to what stands for it where words are split."""
 
@@ -72,7 +60,7 @@ def words_of(text: bytes) -> np.ndarray:
         if any(_SPLITS[ord(c)] != c for c in set(chars)):
             text = chars.translate(_SPLITS).encode()
     words = text.translate(_CLEAN).split()
-    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
 
 
 def seeds_of(words: np.ndarray, size: int = MATCH) -> np.ndarray:
@@ -235,7 +223,7 @@ def _flagged(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_t
     """docs, written, with a row number and the seeds found; what leaks, by row: n_items, w (the worst); the names of both columns."""
     spark = docs.sparkSession
     bench = benchmark.select(F.col(item).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
-    every = materialize(bench.mapInArrow(_items, "item string, item_id long, n_words long, words binary, seeds array<long>"), "bench-items")
+    every = materialize(bench.mapInArrow(tidy(_items), "item string, item_id long, n_words long, words binary, seeds array<long>"), "bench-items")
     # Items with the same words leak alike: they are searched for once.
     members = materialize(every.groupBy("item").agg(F.count("*").alias("copies"), F.min("item_id").alias("item_id")), "bench-members")
     items = materialize(every.drop("item_id").dropDuplicates(["item"]), "bench-distinct")
@@ -245,7 +233,7 @@ def _flagged(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_t
     row, seeds = fresh("_row", docs.columns), fresh("_seeds", docs.columns)
     source = docs.withColumns({row: F.lit(0).cast("long"), seeds: F.lit(None).cast("array<long>")})
     schema = StructType([StructField(f.name, f.dataType, True, f.metadata) for f in source.schema.fields])
-    rows = materialize(source.mapInArrow(_hits(shared, sizes, docs.columns.index(text), lean), schema), "bench-hits")
+    rows = materialize(source.mapInArrow(tidy(_hits(shared, sizes, docs.columns.index(text), lean)), schema), "bench-hits")
     hits = rows.filter(F.col(seeds).isNotNull()).select(F.col(row).alias("row"), F.col(text).cast("string").alias("text"), F.col(seeds).alias("seeds"))
 
     # A leak of an item needs `least` of its distinct seeds, so all but its least - 1 most common ones find it.
@@ -274,7 +262,7 @@ def _flagged(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_t
     full = full.select("row", F.pmod(F.xxhash64("item"), F.col("teams")).alias("team"), "item", "words", none.cast("string").alias("text"))
     heads = hits.join(per_row, "row").select("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("teams") - 1)).alias("team"), none.cast("string").alias("item"), none.cast("binary").alias("words"), "text")
     dealt = full.union(heads).repartition(partitions(spark), "row", "team").sortWithinPartitions("row", "team", F.asc_nulls_first("item"))
-    tiled = dealt.mapInArrow(_tiled, "row long, item string, coverage double")
+    tiled = dealt.mapInArrow(tidy(_tiled), "row long, item string, coverage double")
     tiled = materialize(tiled, "bench-tiled")
     named = materialize(members.join(tiled.groupBy("item").agg(F.count("*").alias("n")), "item"), "bench-named")
     tiled = skewed_lookup(tiled, named, "item", "n", F.col("row"))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, fresh, materialize, one_row_each, partitions, skewed_lookup, text_bytes, with_text_key
+from .common import LOWER_AZ, fresh, materialize, one_row_each, partitions, skewed_lookup, text_bytes, tidy, with_text_key
 
 BUDGET = 64 << 20  #: bytes that a trie holds before it lets go of subtrees, its nodes included
 NODE = 400  #: bytes of a node with its terminal, besides its label
@@ -193,9 +193,9 @@ def text_classes(docs: DataFrame, ident: str = "doc_id", text: str = "text") ->
     """One row for each distinct text after lower-casing A-Z: text_sha256, keep_id (largest id), group_size."""
     spark = docs.sparkSession
     source = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    texts = source.mapInArrow(_collapse, "len long, hash binary, text binary, ident long, n long")
+    texts = source.mapInArrow(tidy(_collapse), "len long, hash binary, text binary, ident long, n long")
     owned = texts.repartition(partitions(spark), "len", "hash").select("text", "ident", "n").sortWithinPartitions("text")
-    return owned.mapInArrow(_own, "text_sha256 string, keep_id long, group_size long")
+    return owned.mapInArrow(tidy(_own), "text_sha256 string, keep_id long, group_size long")
 
 
 def exact_dedup(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
@@ -208,7 +208,7 @@ def exact_dedup(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> D
     """
     classes = materialize(text_classes(docs, ident, text), "text-classes")
     source = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = source.mapInArrow(_digests, "doc_id long, text_sha256 string")
+    rows = source.mapInArrow(tidy(_digests), "doc_id long, text_sha256 string")
     out = skewed_lookup(rows, classes, "text_sha256", "group_size", F.col("doc_id"))
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 

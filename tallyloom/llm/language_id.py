@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 SAMPLE_DOCS = 4000  #: parameter of the fit: labelled documents of each language, the same bound at every size of input
 LANGUAGES = 10_000  #: parameter of the fit: labels that are learnt, the most frequent ones; more than there are languages
 WORDS, WORDS_EACH = 1_000_000, 40_000  #: parameters of the fit: known words of all languages, and of each at most
@@ -192,7 +194,7 @@ def train(docs: DataFrame, ident: str = "doc_id", text: str = "text", lang: str
     near = rows.filter(F.col("text").isNotNull()).join(F.broadcast(below), "lang").filter("h < below")  # LANGUAGES rows at most
     order = Window.partitionBy("lang").orderBy("h", "doc_id", F.xxhash64("text"))
     sample = near.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= SAMPLE_DOCS).select("lang", "text")
-    words = sample.repartition(16).mapInArrow(_count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    words = sample.repartition(16).mapInArrow(tidy(_count), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     most = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     each = min(WORDS_EACH, max(1, WORDS // len(sizes)))
     top = words.withColumn("k", F.row_number().over(most)).filter(F.col("k") <= each).select("lang", "word", "n")
@@ -221,7 +223,7 @@ def identify(docs: DataFrame, model: Model | None = None, ident: str = "doc_id",
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([g for g, _ in got], pa.string()), pa.array([s for _, s in got], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     source = docs.select(F.col(ident).cast("long").alias("doc_id"), held_out(F.col(ident)).alias("held_out"), F.col(text).cast("string").alias("text"))
-    return source.mapInArrow(score, "doc_id long, held_out boolean, lang_pred string, score double")
+    return source.mapInArrow(tidy(score), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def accepted(docs: DataFrame, ident: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -235,4 +237,4 @@ def accepted(docs: DataFrame, ident: str = "doc_id", text: str = "text", lang: s
             got = [scorer.predict(t.as_py()) for t in batch.column(at)]
             yield batch.filter(pa.array([g != UNKNOWN and s >= LEAST_SCORE for g, s in got], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(tidy(keep), docs.schema)

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, fresh, in_chunks, materialize, one_row_each, partitions, skewed_lookup, text_bytes, with_text_key
+from .common import HASHES, LOWER_AZ, fresh, in_chunks, materialize, one_row_each, partitions, skewed_lookup, text_bytes, tidy, with_text_key
 from .components import connected_components
 
 WORDS = 5  #: words of an n-gram
@@ -41,7 +41,7 @@ SHORT = 4  #: lists up to this length are paired in full at once
 SEGMENTS = 4  #: fragments that full sets are cut into to count overlaps
 TEAM = 256  #: pairs of one set that are counted together
 BITMAP_BITS = 24  #: the filter of documents whose sets are needed has 2 ** BITMAP_BITS bits, whatever the input
-MEMO = 150_000
+SEEN = 150_000  #: sets that a task remembers to leave out copies
 CHUNK = 2 << 20  #: bytes of text whose n-grams are made at once
 FINE, COARSE, LARGE = 1024, 256, 1024  #: fragments whose sizes bound overlaps, for sets over LARGE and for others
 FLUSH = 1 << 18  #: entries that a task holds before it emits them
@@ -53,17 +53,6 @@ CLASHES = 10_000  #: sets whose 64-bit numbers meet, at most; beyond it the join
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO:
-            self.clear()
-        got = self[word] = xxhash.xxh3_64_intdigest(word)
-        return got
-
-
-_WORDS = _Words()
-
-
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -73,7 +62,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     """The sorted distinct n-gram hashes of each text; with fewer words the whole sequence is one n-gram."""
     counts, flat = [], []
-    get = _WORDS.__getitem__
+    get = HASHES.__getitem__
     for text in texts:
         words = text.translate(LOWER_AZ).split()
         counts.append(len(words))
@@ -197,8 +186,8 @@ def _levels(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The sketch's levels: how many quarters of a power of two each cell is above the mean, one byte a cell, fixed size; parts of a fragment by level."""
     n = partitions(survey.sparkSession)
     rows = survey.filter("kind = 1").select("block", "part", "cells")
-    some = rows.repartition(n, "block", F.pmod("part", F.lit(64))).select("block", "cells").mapInArrow(_add_blocks, "block int, cells binary")
-    sums = some.repartition(min(n, BLOCKS), "block").mapInArrow(_add_blocks, "block int, cells binary")
+    some = rows.repartition(n, "block", F.pmod("part", F.lit(64))).select("block", "cells").mapInArrow(tidy(_add_blocks), "block int, cells binary")
+    sums = some.repartition(min(n, BLOCKS), "block").mapInArrow(tidy(_add_blocks), "block int, cells binary")
     cells = np.zeros((BLOCKS, (1 << CELL_BITS) // BLOCKS), np.uint32)
     for r in sums.toLocalIterator():
         cells[r["block"]] = np.frombuffer(zlib.decompress(bytes(r["cells"])), np.uint32)
@@ -248,7 +237,7 @@ def _prefixes(shared, fragments: int):
                 cls = _number(_signature(h), renamed)
                 if cls in seen:
                     continue
-                if len(seen) > MEMO:
+                if len(seen) > SEEN:
                     seen.clear()
                 seen.add(cls)
                 p = prefix_length(len(h))
@@ -477,21 +466,21 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order: tupl
     dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("teams"))).drop("teams", "deg")
     heads = dealt.select("a", "chunk").distinct().join(of("a"), "a")
     sized = dealt.join(of("b"), "b").join(heads, ["a", "chunk"]).select("a", "b", "n_a", "n_b", "s_a", "s_b", "chunk")
-    dealt = materialize(sized.mapInArrow(_bounded, "a long, b long, n_a int, n_b int, chunk long"), "join-bounded")
+    dealt = materialize(sized.mapInArrow(tidy(_bounded), "a long, b long, n_a int, n_b int, chunk long"), "join-bounded")
     none = F.lit(None)
     heads = dealt.select("a", "chunk").distinct().select(F.col("a").alias("cls"), "a", "chunk", none.cast("long").alias("b"), none.cast("int").alias("n_a"), none.cast("int").alias("n_b"))
     asked = dealt.select(F.col("b").alias("cls"), "a", "chunk", "b", "n_a", "n_b").union(heads)
     asked = materialize(asked.join(classes.select("cls", F.col("least").alias("doc_id")), "cls"), "join-asked")
     shared = spark.sparkContext.broadcast((order, _bitmap(asked.select("doc_id").distinct())))
     hashed = docs.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP_BITS)))
-    sets = hashed.mapInArrow(_segments(shared), "doc_id long, cls long, v int, keys binary")
+    sets = hashed.mapInArrow(tidy(_segments(shared)), "doc_id long, cls long, v int, keys binary")
     # The sets are moved twice only: to those who ask, and to their teams.
     team = ["a", "chunk", "v"]
     asked = asked.withColumnsRenamed({"cls": "_cls", "doc_id": "_id"})
     met = sets.join(asked, (F.col("cls") == F.col("_cls")) & F.col("doc_id").eqNullSafe(F.col("_id")))
     counted = met.select(*team, "b", "n_a", "n_b", "keys")
     counted = counted.repartition(partitions(spark), *team).sortWithinPartitions(*team, F.asc_nulls_first("b"))
-    parts = counted.mapInArrow(_overlaps, "a long, b long, n_a long, n_b long, shared long")
+    parts = counted.mapInArrow(tidy(_overlaps), "a long, b long, n_a long, n_b long, shared long")
     sums = parts.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
     return sums.filter(F.col("shared") * DEN >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * NUM).select("a", "b")
 
@@ -550,15 +539,15 @@ def _joined(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """For docs of doc_id and text, written tables: rows (doc_id, n_shingles, sig), sets (sig, n_docs, component_id) and the key of a text of each component."""
     spark = docs.sparkSession
     n = partitions(spark)
-    survey = materialize(docs.mapInArrow(_survey, _SURVEY), "join-survey")
+    survey = materialize(docs.mapInArrow(tidy(_survey), _SURVEY), "join-survey")
     rows = survey.filter("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "sig")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "body")).alias("first")
     classes = survey.filter("kind = 0 AND sig IS NOT NULL").groupBy("sig").agg(first, F.count("*").alias("n_docs"), F.first("sizes").alias("sizes"), F.first("bits").alias("bits"))
     classes, renamed = _numbered(classes.select("sig", "first", F.col("first.doc_id").alias("least"), "n_docs", "sizes", "bits"))
     order = (*_levels(survey), renamed)
     shared = spark.sparkContext.broadcast(order)
-    entries = docs.select("text").mapInArrow(_prefixes(shared, 4 * n), "fragment long, part long, cut boolean, entries binary")
-    listed = entries.repartition(n, "fragment", "part").sortWithinPartitions("fragment", "part").mapInArrow(_lists, _PAIRED)
+    entries = docs.select("text").mapInArrow(tidy(_prefixes(shared, 4 * n)), "fragment long, part long, cut boolean, entries binary")
+    listed = entries.repartition(n, "fragment", "part").sortWithinPartitions("fragment", "part").mapInArrow(tidy(_lists), _PAIRED)
     listed = materialize(listed, "join-lists")
 
     distinct = lambda df: df.filter("kind = 0").select("a", "b", "n_a", "n_b").distinct()
@@ -574,7 +563,7 @@ def _joined(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     pairs = materialize(distinct(listed).union(stars.distinct()).distinct(), "join-pairs")
     links = materialize(_verified(pairs, docs, classes, order), "join-links")
     known = connected_components(links)
-    rest = materialize(distinct(_cells_of(led, classes, known).mapInArrow(_cells, _PAIRED)), "join-rest")
+    rest = materialize(distinct(_cells_of(led, classes, known).mapInArrow(tidy(_cells), _PAIRED)), "join-rest")
     if not rest.isEmpty():
         known = connected_components(links.union(_verified(rest, docs, classes, order)))
 

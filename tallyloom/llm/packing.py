@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions
+from .common import materialize, partitions, tidy
 from .tokens import default_vocabulary, encoder
 
 CAPACITIES = (256, 512, 1024, 2048, 4096)  #: permitted lengths in tokens
@@ -128,7 +128,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacities: Sequence[in
     vocabulary = vocabulary or default_vocabulary()
     most = max(capacities)
     source = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    lengths = materialize(source.mapInArrow(_lengths(vocabulary, end), "doc_id long, body long, n_tokens long"), "pack-lengths")
+    lengths = materialize(source.mapInArrow(tidy(_lengths(vocabulary, end)), "doc_id long, body long, n_tokens long"), "pack-lengths")
     # Rows that repeat an id and a text are alike: they are counted and made again, so they are dealt like all others.
     rows = lengths.groupBy("doc_id", "body", F.col("n_tokens").alias("all")).agg(F.count("*").alias("n"))
     runs = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))).alias("run"))
@@ -142,4 +142,4 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacities: Sequence[in
     dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "body", "copy", "piece"), F.lit(groups)))
     n = min(groups, max(partitions(spark), 1) * 4)
     sorted_ = dealt.repartition(n, "group").sortWithinPartitions("group", F.desc("n_tokens"), "doc_id", "body", "piece", "copy")
-    return sorted_.select("group", "doc_id", "piece", "start", "n_tokens").mapInArrow(_pack(capacities), _PACKED)
+    return sorted_.select("group", "doc_id", "piece", "start", "n_tokens").mapInArrow(tidy(_pack(capacities)), _PACKED)

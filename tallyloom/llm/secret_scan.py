@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, skewed_lookup
+from .common import materialize, skewed_lookup, tidy
 
 # The patterns and limits of the base kinds, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -118,7 +118,7 @@ def scan_secrets(docs: DataFrame, ident: str = "doc_id", text: str = "text", rep
     place = F.coalesce(F.col(repo).cast("string"), F.lit(""))
     who = owner if owner is not None else F.substring_index(place, "/", 1)
     source = docs.select(F.col(ident).cast("long").alias("doc_id"), place.alias("repo"), who.alias("owner"), F.col(text).cast("string").alias("text"))
-    found = materialize(source.mapInArrow(_scan, _SCANNED), "secret-scan")
+    found = materialize(source.mapInArrow(tidy(_scan), _SCANNED), "secret-scan")
     values = found.filter(F.size("values") > 0).select("row", "repo", "owner", F.inline("values"))
     # Rows of a value are first reduced to one for each owner and repository, on the map side too.
     places = values.groupBy("hash", "owner", "repo").agg(F.count("*").alias("n"))

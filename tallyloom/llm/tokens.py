@@ -9,7 +9,6 @@ whole by the library.
 from __future__ import annotations
 
 import functools
-import json
 import os
 import re
 from array import array
@@ -20,7 +19,7 @@ import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-MEMO = 300_000  #: chunks in use that a worker keeps at least
+MEMO = 120_000  #: chunks in use that a worker keeps at least
 SPLIT = regex.compile(public_tokenizers.PATTERN)
 LATIN = "\u0250"  #: below it, no version of Unicode changes a character's class
 SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -56,16 +55,15 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        pre = spec.get("pre_tokenizer") or {}
-        model = spec.get("model") or {}
-        self.added = [t["content"] for t in spec.get("added_tokens") or []]
+        pre, model, added = self.tokenizer.pre_tokenizer, self.tokenizer.model, self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added]
         self.chunked = (
-            pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not spec.get("normalizer")
-            and model.get("type", "BPE") == "BPE" and not model.get("dropout") and not model.get("ignore_merges") and all(not t.get("lstrip") and not t.get("rstrip") for t in spec.get("added_tokens") or [])
+            isinstance(pre, ByteLevel) and not pre.add_prefix_space and pre.use_regex and self.tokenizer.normalizer is None
+            and isinstance(model, BPE) and not model.dropout and not model.ignore_merges and all(not t.lstrip and not t.rstrip for t in added)
         )
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.split, self.merge = self.tokenizer.pre_tokenizer, self.tokenizer.model
