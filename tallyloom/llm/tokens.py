@@ -19,7 +19,7 @@ import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-MEMO = 120_000  #: chunks in use that a worker keeps at least
+MEMO = 200_000  #: chunks in use that a worker keeps at least
 SPLIT = regex.compile(public_tokenizers.PATTERN)
 LATIN = "\u0250"  #: below it, no version of Unicode changes a character's class
 SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -67,17 +67,24 @@ class Encoder:
         )
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.split, self.merge = self.tokenizer.pre_tokenizer, self.tokenizer.model
+        self.letters = byte_letters()
+        self.space = self.letters[32]
         self.first = _Memo(lambda word: self._safe(word, ""))
         self.rest = _Memo(lambda word: self._safe(word, " "))
         self.pieces = _Memo(self._piece)
-        self.letters = byte_letters()
 
     def _safe(self, word: str, lead: str) -> bytes | None:
         """None for a chunk that must not be cut at its space."""
         core = word.rstrip(",.")
         if core.isalpha() and (core.isascii() or max(core) < LATIN):  # a run of letters and one of marks
-            got = self.pieces[lead + core]
-            return got if len(core) == len(word) else got + self.pieces[word[len(core) :]]
+            if len(core) < len(word):
+                return (self.rest if lead else self.first)[core] + self.pieces[word[len(core) :]]
+            return self._merge((self.space if lead else "") + word) if word.isascii() else self._piece(lead + word)
+        if "\n" in word:  # a single line end between other characters is a piece of its own
+            parts = word.split("\n")
+            got = [(self.rest if lead else self.first)[parts[0]], *map(self.first.__getitem__, parts[1:])] if all(parts) else [None]
+            if None not in got:
+                return self.pieces["\n"].join(got)
         return self._chunk(lead + word) if word and not word[0].isspace() and not word[-1].isspace() else None
 
     def _chunk(self, chunk: str) -> bytes:

@@ -219,6 +219,13 @@ def test_chunks_equal_whole_texts(text):
     assert e.encode(text) == e.whole(text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text("ab'sé1.,&\n\t \u2028ß中", max_size=40))
+def test_chunks_of_lines_and_marks_equal_whole_texts(text):
+    e = tokens.encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert e.encode(text) == e.whole(text)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(1, 32), st.lists(st.integers(0, (1 << 32) - 1), max_size=200), st.integers(1, 40))
 def test_bit_packing(width, ids, block):
