@@ -19,7 +19,7 @@ import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-MEMO = 200_000  #: chunks in use that a worker keeps at least
+MEMO = 300_000  #: chunks in use that a worker keeps at least
 SPLIT = regex.compile(public_tokenizers.PATTERN)
 LATIN = "\u0250"  #: below it, no version of Unicode changes a character's class
 SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -43,6 +43,27 @@ class _Memo(dict):
         return got
 
 
+class _Chunks(_Memo):
+    """The same for chunks that begin with `lead`; plain words, most of all, go straight to the merges."""
+
+    def __init__(self, make, lead: str, tokenize) -> None:
+        super().__init__(make)
+        self.lead, self.tokenize = lead, tokenize
+
+    def __missing__(self, key: str):
+        got = self.old.get(key)
+        if got is None:
+            if key.isalpha() and key.isascii():
+                got = array("I", [t.id for t in self.tokenize(self.lead + key)]).tobytes()
+            else:
+                got = self.make(key)
+        if len(self) >= MEMO:
+            self.old = dict(self)
+            self.clear()
+        self[key] = got
+        return got
+
+
 def byte_letters() -> dict[int, str]:
     """The printable character that byte-level vocabularies write for each byte: itself, or the next free one from U+0100 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -68,9 +89,8 @@ class Encoder:
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.split, self.merge = self.tokenizer.pre_tokenizer, self.tokenizer.model
         self.letters = byte_letters()
-        self.space = self.letters[32]
-        self.first = _Memo(lambda word: self._safe(word, ""))
-        self.rest = _Memo(lambda word: self._safe(word, " "))
+        self.first = _Chunks(lambda word: self._safe(word, ""), "", self.merge.tokenize)
+        self.rest = _Chunks(lambda word: self._safe(word, " "), self.letters[32], self.merge.tokenize)
         self.pieces = _Memo(self._piece)
 
     def _safe(self, word: str, lead: str) -> bytes | None:
@@ -79,7 +99,7 @@ class Encoder:
         if core.isalpha() and (core.isascii() or max(core) < LATIN):  # a run of letters and one of marks
             if len(core) < len(word):
                 return (self.rest if lead else self.first)[core] + self.pieces[word[len(core) :]]
-            return self._merge((self.space if lead else "") + word) if word.isascii() else self._piece(lead + word)
+            return self._piece(lead + word)
         if "\n" in word:  # a single line end between other characters is a piece of its own
             parts = word.split("\n")
             got = [(self.rest if lead else self.first)[parts[0]], *map(self.first.__getitem__, parts[1:])] if all(parts) else [None]
