@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import EngineConfig
 from ..functions.scalars import category, days_between, segment
+from ..sources.files import stage
 
 ATTRIBUTES = ("brand", "l2_category", "l3_category", "functionality")
 
@@ -129,9 +130,19 @@ def price_bands(lines: DataFrame) -> DataFrame:
     return prices.join(edges, ["region", "end_use"]).select("customer_id", "product_id", "region", "end_use", "mean_price", band.alias("price_band"))
 
 
+def basket_lines(invoices: DataFrame, products: DataFrame, customers: DataFrame, config: EngineConfig) -> DataFrame:
+    """The invoice rows that a basket is made of, with the columns that it reads only."""
+    lines = with_min_orders(enriched_lines(recency_scope(invoices, config), products, customers, config), config)
+    return lines.select("customer_id", "segment", "region", "end_use", "product_id", *ATTRIBUTES, "in_stock", "invoice_date", "ref_date", "quantity", "price", "line_spend")
+
+
 def build_market_basket(invoices: DataFrame, products: DataFrame, customers: DataFrame, config: EngineConfig) -> DataFrame:
     """The basket with RFM scores and price band, a row for each customer and product."""
-    lines = with_min_orders(enriched_lines(recency_scope(invoices, config), products, customers, config), config)
+    return market_basket(stage(basket_lines(invoices, products, customers, config), "lines"), config)
+
+
+def market_basket(lines: DataFrame, config: EngineConfig) -> DataFrame:
+    """The same from basket_lines, which are read several times: written, they are joined and filtered once."""
     core = basket_core(lines).join(rfm_scores(rfm(lines)), "customer_id", "left")
     if config.has_price:
         core = core.join(price_bands(lines).drop("mean_price"), ["customer_id", "product_id", "region", "end_use"], "left")

@@ -44,11 +44,9 @@ class Engine:
 
     def run(self, customers: DataFrame, products: DataFrame, invoices: DataFrame, given: DataFrame | None = None, version: int = 1, created: str = "1970-01-01") -> Result:
         c = self.config
-        scoped = files.require_rows(basket.recency_scope(invoices, c), "no purchases within the recency cutoff")
-        lines = basket.enriched_lines(scoped, products, customers, c)
-        if c.min_order_count > 1:
-            files.require_rows(basket.with_min_orders(lines, c), "no customer has orders enough")
-        market = self._stage("market_basket", basket.build_market_basket(invoices, products, customers, c))
+        files.require_rows(basket.recency_scope(invoices, c), "no purchases within the recency cutoff")
+        lines = files.require_rows(self._stage("lines", basket.basket_lines(invoices, products, customers, c)), "no customer has orders enough")
+        market = self._stage("market_basket", basket.market_basket(lines, c))
         files.require_rows(market, "the market basket is empty")
         fitted = self._stage("fitted", cluster.fit_clusters(market, c))
         clusters = self._stage("customer_clusters", files.require_rows(cluster.customer_clusters(fitted), "no customer was clustered"))

@@ -23,7 +23,7 @@ from ..sources.star import load, surrogate_clusters
 CONFIG = EngineConfig()
 MIN_ORDERS = EngineConfig(min_order_count=4)
 LEGACY = EngineConfig(n_init=10)  #: the older clustering starts each k-means ten times
-STAGED = ("slim", "basket", "items", "rules", "assoc", "recs", "matrix", "models")
+STAGED = ("read_lines", "slim", "basket", "items", "rules", "assoc", "recs", "matrix", "models")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -41,7 +41,8 @@ class Tables:
     canonical = property(lambda self: self.c)
     scoped = property(lambda self: self._get("scoped", lambda: B.recency_scope(self.c.invoices, CONFIG)))
     lines = property(lambda self: self._get("lines", lambda: B.enriched_lines(self.scoped, self.c.products, self.c.customers, CONFIG)))
-    basket = property(lambda self: self._get("basket", lambda: B.build_market_basket(self.c.invoices, self.c.products, self.c.customers, CONFIG)))
+    read_lines = property(lambda self: self._get("read_lines", lambda: B.basket_lines(self.c.invoices, self.c.products, self.c.customers, CONFIG)))  # for what reads them several times
+    basket = property(lambda self: self._get("basket", lambda: B.market_basket(self.read_lines, CONFIG)))
     slim = property(lambda self: self._get("slim", lambda: B.basket_core(self.lines)))
     clusters = property(lambda self: self._get("clusters", lambda: surrogate_clusters(self.slim)))
     sessions = property(lambda self: self._get("sessions", lambda: S.sessionise(self.c.invoices, S.basket_window(self.c.invoices, CONFIG))))
@@ -156,8 +157,8 @@ BY_NAME: dict[str, Callable[[Tables], DataFrame]] = {
     "min_order_filter": lambda t: B.with_min_orders(t.lines, MIN_ORDERS).groupBy("customer_id").agg(F.count("*").alias("n_rows"), F.count_distinct("invoice_date").alias("n_dates")),
     "basket_summary": lambda t: B.summary(t.slim),
     "rfm": lambda t: B.rfm(t.lines),
-    "rfm_scores": lambda t: B.rfm_scores(B.rfm(t.lines)),
-    "price_band": lambda t: B.price_bands(t.lines).drop("mean_price"),
+    "rfm_scores": lambda t: B.rfm_scores(B.rfm(t.read_lines)),
+    "price_band": lambda t: B.price_bands(t.read_lines).drop("mean_price"),
     "purchase_gaps": lambda t: S.purchase_gaps(t.c.invoices).groupBy("customer_id").agg(F.count("*").alias("n_rows"), F.sum("gap_days").alias("sum_gap"), F.max("gap_days").alias("max_gap")),
     "basket_window": lambda t: S.basket_window(t.c.invoices, CONFIG),
     "sessions": lambda t: S.baskets(t.sessions),
