@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,7 @@ class Tables:
     lines = property(lambda self: self._get("lines", lambda: B.enriched_lines(self.scoped, self.c.products, self.c.customers, CONFIG)))
     read_lines = property(lambda self: self._get("read_lines", lambda: B.basket_lines(self.c.invoices, self.c.products, self.c.customers, CONFIG)))  # for what reads them several times
     basket = property(lambda self: self._get("basket", lambda: B.market_basket(self.read_lines, CONFIG)))
+    fitting = property(lambda self: SimpleNamespace(c=self.c, basket=self._get("fit_basket", lambda: B.clustering_basket(self.read_lines))))  # for k-means: no price bands
     slim = property(lambda self: self._get("slim", lambda: B.basket_core(self.lines)))
     clusters = property(lambda self: self._get("clusters", lambda: surrogate_clusters(self.slim)))
     sessions = property(lambda self: self._get("sessions", lambda: S.sessionise(self.c.invoices, S.basket_window(self.c.invoices, CONFIG))))
@@ -142,7 +144,7 @@ def fitted(t: Tables) -> DataFrame:
 
 def fitted_rules(t: Tables) -> DataFrame:
     """Rules inside the clusters that k-means finds, not the surrogate ones."""
-    return R.mine(t.c.invoices, stage(C.customer_clusters(fitted(t)), "clusters"), CONFIG)
+    return R.mine(t.c.invoices, stage(C.customer_clusters(fitted(t.fitting)), "clusters"), CONFIG)
 
 
 def legacy_k(t: Tables) -> DataFrame:
@@ -202,9 +204,9 @@ BY_NAME: dict[str, Callable[[Tables], DataFrame]] = {
     "zero_variance": unvaried,
     "scaled_features": lambda t: X.scaled_features(t.matrix),
     "legacy_k": legacy_k,
-    "kmeans_clusters": lambda t: C.customer_clusters(fitted(t)),
-    "cluster_diagnostics": lambda t: C.diagnostics(fitted(t)),
-    "model_registry": lambda t: C.model_registry(fitted(t), 1, "Approved", "2024-01-01").drop("feature_cols"),
+    "kmeans_clusters": lambda t: C.customer_clusters(fitted(t.fitting)),
+    "cluster_diagnostics": lambda t: C.diagnostics(fitted(t.fitting)),
+    "model_registry": lambda t: C.model_registry(fitted(t.fitting), 1, "Approved", "2024-01-01").drop("feature_cols"),
     "legacy_clusters": lambda t: C.customer_clusters(C.fit_clusters(t.basket, LEGACY, "raw_l2", "sqrt")),
     "fitted_rules": fitted_rules,
     "nearest_centroid": nearest,

@@ -2,10 +2,12 @@
 
 import numpy as np
 import pytest
+from conftest import SMALL
 from pyspark.sql import functions as F
 
 from tallyloom.config import EngineConfig
-from tallyloom.operators import cluster, large_cluster
+from tallyloom.operators import cluster, features, large_cluster
+from tallyloom.plans import queries
 
 
 def shares(spark, segments, n=120, groups=4):
@@ -86,6 +88,27 @@ def test_seeds_are_drawn_by_squared_distance():
     assert 0.0 not in hits and 0.07 < np.mean(np.array(hits) == 1.0) < 0.13
 
 
+@pytest.mark.parametrize("groups", [("l2_qty", "brand", "functionality", "rfm"), ("functionality",), ("rfm", "brand")])
+def test_rows_by_customer_are_those_of_the_matrix(spark, groups):
+    """The form with one exchange gives what the matrix in long form gives, also for a customer without quantities."""
+    basket = shares(spark, ["a"], n=9).withColumns({c: F.pmod(F.xxhash64("customer_id"), F.lit(7)) / 7 for c in features.RFM})
+    basket = basket.withColumn("total_quantity", F.when(F.col("customer_id") == "a-3", 0.0).otherwise(F.col("total_quantity")))
+    config = EngineConfig(feature_groups=groups)
+    got = {r.customer_id: r.has for r in features.customer_features(basket, config).collect()}
+    want = {r.customer_id: r.has for r in features.by_customer(features.feature_matrix(basket, config)).collect()}
+    assert got == want and len(got) == 9
+    with pytest.raises(ValueError):
+        features.customer_features(basket, EngineConfig(feature_groups=("nothing",)))
+
+
+def test_clustering_reads_what_the_basket_says(spark):
+    """What is read for clustering has the features of the whole market basket."""
+    tables = queries.Tables(spark, SMALL)
+    rows = [{(r.segment, r.customer_id): r.has for r in features.customer_features(b, EngineConfig()).collect()} for b in (tables.basket, tables.fitting.basket)]
+    assert rows[0].keys() == rows[1].keys() and len(rows[0]) > 100
+    assert all(rows[0][k].keys() == rows[1][k].keys() and rows[0][k] == pytest.approx(rows[1][k], abs=1e-12) for k in rows[0])
+
+
 def test_segments_without_differences_keep_their_customers(spark, monkeypatch):
     one = spark.createDataFrame([(f"c{i}", "s", "l", "b", "f", 1.0) for i in range(40)], "customer_id string, segment string, l2_category string, brand string, functionality string, total_quantity double")
     for limit in (100, 30):
