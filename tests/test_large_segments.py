@@ -115,3 +115,22 @@ def test_segments_without_differences_keep_their_customers(spark, monkeypatch):
         monkeypatch.setattr(cluster, "LARGE_SEGMENT", limit)
         fitted = cluster.fit_clusters(one, EngineConfig(n_init=2))
         assert fitted.count() == 40 and fitted.filter((F.col("label") != 0) | (F.col("k") != 1)).isEmpty()
+
+
+def jobs_of(spark, monkeypatch, name):
+    """A registered query's rows where segments of six customers and more are large, and the jobs that it took."""
+    monkeypatch.setattr(cluster, "LARGE_SEGMENT", 5)
+    spark.sparkContext.setJobGroup(name, "")
+    try:
+        tables = queries.Tables(spark, SMALL)
+        rows = queries.finished(name, tables).collect()
+        return rows, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name)), tables
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_model_registry_of_large_segments(spark, monkeypatch):
+    rows, jobs, tables = jobs_of(spark, monkeypatch, "model_registry")
+    sizes = {r.segment: r.n for r in tables.slim.groupBy("segment").agg(F.count_distinct("customer_id").alias("n")).collect()}
+    assert {r.segment: r.n_customers for r in rows} == sizes and sum(n > 5 for n in sizes.values()) > 3
+    assert all(2 <= r.k <= 8 and r.inertia >= 0 for r in rows if r.n_customers > 5) and jobs < 300
