@@ -134,3 +134,9 @@ def test_model_registry_of_large_segments(spark, monkeypatch):
     sizes = {r.segment: r.n for r in tables.slim.groupBy("segment").agg(F.count_distinct("customer_id").alias("n")).collect()}
     assert {r.segment: r.n_customers for r in rows} == sizes and sum(n > 5 for n in sizes.values()) > 3
     assert all(2 <= r.k <= 8 and r.inertia >= 0 for r in rows if r.n_customers > 5) and jobs < 300
+
+
+def test_rules_in_the_clusters_of_large_segments(spark, monkeypatch):
+    rows, jobs, _ = jobs_of(spark, monkeypatch, "fitted_rules")
+    assert rows and len({r.cluster_id for r in rows}) > len({r.segment for r in rows}) and jobs < 300
+    assert all(r.lift >= 1.2 and r.support <= r.confidence <= 1 for r in rows)
