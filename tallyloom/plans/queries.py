@@ -19,7 +19,7 @@ from ..operators import serve as V
 from ..operators import sessions as S
 from ..operators import validate as A
 from ..sources.files import new_folder, stage
-from ..sources.star import load, surrogate_clusters
+from ..sources.star import last_date, load, surrogate_clusters
 
 CONFIG = EngineConfig()
 MIN_ORDERS = EngineConfig(min_order_count=4)
@@ -32,7 +32,7 @@ class Tables:
     """What the queries build on, made when first asked for; tables that several steps read are written once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.c, self._made = spark, load(spark, sf_dir), {}
+        self.spark, self.sf_dir, self.c, self._made = spark, sf_dir, load(spark, sf_dir), {}
 
     def _get(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._made:
@@ -44,7 +44,8 @@ class Tables:
     lines = property(lambda self: self._get("lines", lambda: B.enriched_lines(self.scoped, self.c.products, self.c.customers, CONFIG)))
     read_lines = property(lambda self: self._get("read_lines", lambda: B.basket_lines(self.c.invoices, self.c.products, self.c.customers, CONFIG)))  # for what reads them several times
     basket = property(lambda self: self._get("basket", lambda: B.market_basket(self.read_lines, CONFIG)))
-    fitting = property(lambda self: SimpleNamespace(c=self.c, basket=self._get("fit_basket", lambda: B.clustering_basket(self.read_lines))))  # for k-means: no price bands
+    recent = property(lambda self: self._get("recent", lambda: B.recency_scope(self.c.invoices, CONFIG, last_date(self.spark, self.sf_dir))))
+    fitting = property(lambda self: SimpleNamespace(c=self.c, basket=self._get("fit_basket", lambda: X.line_features(B.with_min_orders(B.product_lines(self.recent, self.c.products, CONFIG), CONFIG), self.c.customers, CONFIG))))  # for k-means: features without a basket
     slim = property(lambda self: self._get("slim", lambda: B.basket_core(self.lines)))
     clusters = property(lambda self: self._get("clusters", lambda: surrogate_clusters(self.slim)))
     sessions = property(lambda self: self._get("sessions", lambda: S.sessionise(self.c.invoices, S.basket_window(self.c.invoices, CONFIG))))

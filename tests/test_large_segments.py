@@ -1,13 +1,17 @@
 """Segments beyond what a task clusters: whole, by few passes, as good as the clustering in one task."""
 
+import datetime
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
 from tallyloom.config import EngineConfig
-from tallyloom.operators import cluster, features, large_cluster
+from tallyloom.operators import basket, cluster, features, large_cluster
 from tallyloom.plans import queries
+from tallyloom.sources import star
 
 
 def shares(spark, segments, n=120, groups=4):
@@ -140,3 +144,64 @@ def test_rules_in_the_clusters_of_large_segments(spark, monkeypatch):
     rows, jobs, _ = jobs_of(spark, monkeypatch, "fitted_rules")
     assert rows and len({r.cluster_id for r in rows}) > len({r.segment for r in rows}) and jobs < 300
     assert all(r.lift >= 1.2 and r.support <= r.confidence <= 1 for r in rows)
+
+
+def test_registry_writes_no_lines_and_joins_recent_orders_only(spark, monkeypatch):
+    """What is written before the fit is a row a customer, and orders are filtered by date before lines meet them."""
+    written = []
+    for module in (queries, features, cluster):
+        monkeypatch.setattr(module, "stage", lambda df, name, write=module.stage: written.append((name, out := write(df, name))) or out)
+    _, _, tables = jobs_of(spark, monkeypatch, "model_registry")
+    assert "read_lines" not in dict(written)
+    rows = max(df.count() for _, df in written)
+    assert rows == tables.slim.select("segment", "customer_id").distinct().count()
+    plan = tables.recent._jdf.queryExecution().optimizedPlan().toString()
+    assert any("Filter" in x and "o_orderdate" in x and "scalar-subquery" in x for x in plan[plan.index("Join") :].split("\n"))
+
+
+def test_last_date_is_that_of_the_invoices(spark, monkeypatch, tmp_path):
+    want = basket.reference_date(star.load(spark, SMALL).invoices).first()
+    assert star.last_date(spark, SMALL).first() == want
+    day = lambda i: datetime.datetime(2020, 1, i)
+    spark.createDataFrame([(1, day(1)), (2, day(3)), (3, day(4)), (4, day(5)), (5, None)], "o_orderkey long, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, 1), (2, 1), (3, 9), (5, 1)], "l_orderkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")  # part 9 isn't known, order 4 is empty
+    spark.createDataFrame([(1,)], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    for latest in (1, 2, 3, 1000):
+        monkeypatch.setattr(star, "LATEST", latest)
+        assert star.last_date(spark, str(tmp_path)).first().ref_date == day(3)
+
+
+def test_features_of_lines_are_those_of_the_basket(spark):
+    """Also for customers without a number, unknown ones, ones listed twice in one segment or two, and lines without quantities."""
+    rng = np.random.default_rng(3)
+    ids = [*(f"c{i}" for i in range(30)), None]
+    day = lambda: datetime.datetime(2020, 1, int(rng.integers(1, 28)))
+    invoices = spark.createDataFrame(
+        [(ids[rng.integers(len(ids))], f"p{rng.integers(9)}", None if rng.integers(9) == 0 else float(rng.integers(3)), day(), float(rng.integers(1, 5))) for _ in range(400)] + [("empty", "p1", 0.0, day(), 1.0), ("none", "p1", None, day(), 1.0)],
+        "customer_id string, product_id string, quantity double, invoice_date timestamp, unit_price double",
+    )
+    products = spark.createDataFrame([(f"p{i}", f"b{i % 3}", f"l{i % 4}", "x", f"f{i % 2}", True, 2.0) for i in range(8)], "product_id string, brand string, l2_category string, l3_category string, functionality string, in_stock boolean, product_price double")
+    customers = spark.createDataFrame([*((f"c{i}", "r", f"e{i % 2}") for i in range(28)), ("c1", "r", "e1"), ("c2", "r", "other"), ("c3", None, "e"), (None, "r", "e"), ("empty", "r", "e"), ("none", "r", "e")], "customer_id string, region string, end_use string")
+    for groups in (("l2_qty", "brand", "functionality", "rfm"), ("brand",), ("functionality", "rfm")):
+        config = EngineConfig(feature_groups=groups)
+        want = {(r.segment, r.customer_id): r.has for r in features.customer_features(basket.build_market_basket(invoices, products, customers, config), config).collect()}
+        lines = basket.product_lines(basket.recency_scope(invoices, config, basket.reference_date(invoices)), products, config)
+        rows = features.line_features(lines, customers, config).collect()
+        got = {(r.segment, r.customer_id): r.has for r in rows}
+        assert got.keys() == want.keys() and len(rows) == len(want) > 30
+        assert all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+
+
+def test_customers_go_on_over_batches(monkeypatch):
+    """However rows are cut into batches, a customer is one row."""
+    n = [1, 7, 2, 12, 3, 1]
+    ids = [x for x, k in zip([None, "a", "b", "c", "d", "e"], n) for _ in range(k)]
+    number = pa.array(range(len(ids)), pa.int64())
+    table = pa.table({"customer_id": pa.array(ids, pa.string()), "day": pa.array([i % 3 for i in range(len(ids))], pa.int64()), "ref": number, "q": number.cast(pa.float64()), "s": number.cast(pa.float64()), "f0": pa.array([f"x{i % 2}" for i in range(len(ids))])})
+    results = []
+    for size, buffer in ((100, 100), (1, 1), (4, 5), (3, 2)):
+        monkeypatch.setattr(features, "BUFFER", buffer)
+        results.append([r | {"has": dict(r["has"])} for b in features._customers(1)(table.to_batches(max_chunksize=size)) for r in b.to_pylist()])
+    assert all(r == results[0] for r in results) and [r["customer_id"] for r in results[0]] == [None, "a", "b", "c", "d", "e"]
+    assert [r["rfm_frequency"] for r in results[0]] == [1, 3, 2, 3, 3, 1] and results[0][1]["spend"] == sum(range(1, 8))
+    assert results[0][2]["has"] == {"x0": 8 / 17, "x1": 9 / 17}
