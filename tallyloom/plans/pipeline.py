@@ -48,7 +48,7 @@ class Engine:
         lines = files.require_rows(self._stage("lines", basket.basket_lines(invoices, products, customers, c)), "no customer has orders enough")
         market = self._stage("market_basket", basket.market_basket(lines, c))
         files.require_rows(market, "the market basket is empty")
-        fitted = self._stage("fitted", cluster.fit_clusters(market, c))
+        fitted = self._stage("fitted", cluster.fit_clusters(market, c, "groups", "elbow", "euclidean"))
         clusters = self._stage("customer_clusters", files.require_rows(cluster.customer_clusters(fitted), "no customer was clustered"))
         models = self._stage("models", cluster.model_table(fitted))
         cluster.register(models, cluster.model_registry(fitted, version, c.model_approval_status, created), f"{self.workspace}/packages")
